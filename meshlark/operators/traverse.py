@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -186,33 +187,48 @@ def _fewest_hops(back: Links, pairs: DataFrame) -> DataFrame:
 
 
 def _least_cost(back: Links, pairs: DataFrame) -> DataFrame:
-    """Least (cost, hops) to each target by repeated relaxation of the rows that just improved.
+    """Least (cost, hops) to each target.
 
     A row dearer than the worst current source cost of its target cannot help any pair and is not extended.
     """
-    seeds = pairs.select(F.col("to_node").alias("target")).distinct()
-    state = store(seeds.select("target", F.col("target").alias("node_id"),
-                               F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops")).alias("best"),
-                               F.lit(True).alias("changed")), changed=F.lit(1))
-    moved = state.rows
-    while moved:
-        known = state.df.select(F.col("target").alias("to_node"), F.col("node_id").alias("from_node"), "best")
+
+    def useful(active: DataFrame, state: DataFrame) -> DataFrame:
+        known = state.select(F.col("origin").alias("to_node"), F.col("node_id").alias("from_node"), "best")
         bound = (pairs.join(known, ["from_node", "to_node"], "left")
-                 .groupBy(F.col("to_node").alias("target"))
+                 .groupBy(F.col("to_node").alias("origin"))
                  .agg(F.max(F.coalesce("best.cost", F.lit(float("inf")))).alias("bound")))
-        active = state.df.where("changed").join(bound, "target").where(F.col("best.cost") <= F.col("bound"))
-        offers = (back.step(active.select("target", "node_id", "best"))
-                  .groupBy("target", F.col("dst").alias("node_id"))
+        return active.join(bound, "origin").where(F.col("best.cost") <= F.col("bound"))
+
+    found = relax(back, pairs.select(F.col("to_node").alias("origin")).distinct(), useful)
+    return found.withColumnRenamed("origin", "target")
+
+
+def relax(links: Links, origins: DataFrame, useful: Callable | None = None) -> DataFrame:
+    """``origin, node_id, cost, hops``: least (cost, hops) from every origin along the links.
+
+    Each round extends only the rows that just improved, and rewrites the state in one job that also counts
+    the improvements. ``useful(active, state)`` may drop rows that need no extension.
+    """
+    state = store(origins.select("origin", F.col("origin").alias("node_id"),
+                                 F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops")).alias("best"),
+                                 F.lit(True).alias("changed")))
+    moved = state.rows
+    while moved:
+        active = state.df.where("changed").select("origin", "node_id", "best")
+        if useful is not None:
+            active = useful(active, state.df)
+        offers = (links.step(active)
+                  .groupBy("origin", F.col("dst").alias("node_id"))
                   .agg(F.min(F.struct((F.col("best.cost") + F.col("weight")).alias("cost"),
                                       (F.col("best.hops") + 1).alias("hops"))).alias("offer")))
         better = F.col("offer").isNotNull() & (F.col("best").isNull() | (F.col("offer") < F.col("best")))
-        merged = state.df.drop("changed").join(offers, ["target", "node_id"], "full").select(
-            "target", "node_id", F.when(better, F.col("offer")).otherwise(F.col("best")).alias("best"),
+        merged = state.df.drop("changed").join(offers, ["origin", "node_id"], "full").select(
+            "origin", "node_id", F.when(better, F.col("offer")).otherwise(F.col("best")).alias("best"),
             better.alias("changed"))
         after = store(merged, changed=F.count_if("changed"))
         forget(state)
         state, moved = after, after.measures["changed"]
-    return state.df.select("target", "node_id", "best.cost", "best.hops")
+    return state.df.select("origin", "node_id", "best.cost", "best.hops")
 
 
 def _walk(forward: Links, pairs: DataFrame, distances: DataFrame) -> DataFrame:
