@@ -13,6 +13,7 @@ c = F.col
 MAX_LEVELS = 8
 MAX_ROUNDS = 12
 LEAST_GAIN = 1e-7
+LEAST_MOVE = 1e-12
 
 
 def louvain(edges: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def _move(arcs: DataFrame, state: Stored, two_m: float, down: bool) -> Stored:
         F.max(F.when(~c("own") & allowed, F.struct("gain", "target"))).alias("go"))
     own_total = here.join(totals, "community")
     staying = F.coalesce("stay", -c("strength") * (c("total") - c("strength")) / two_m)
-    leaves = c("go").isNotNull() & (c("go.gain") > staying + LEAST_GAIN * two_m / 1e3)
+    leaves = c("go").isNotNull() & (c("go.gain") > staying + LEAST_MOVE * two_m)
     moved = own_total.join(chosen, "node", "left").select(
         "node", F.when(leaves, c("go.target")).otherwise(c("community")).alias("community"), "strength",
         F.coalesce(leaves, F.lit(False)).alias("moved"))

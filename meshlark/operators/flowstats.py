@@ -191,10 +191,14 @@ def size_by_protocol(flows: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def pair_protocol_totals(flows: DataFrame) -> DataFrame:
-    """The network's edges: ``src, dst, protocol`` with weight (packets), bytes and number of flows."""
+    """The network's edges: ``src, dst, protocol`` with weight (packets), bytes and number of flows.
+
+    ``first_edge`` remembers the order of the rows, for flows that have an edge id.
+    """
+    first = [F.min("edge_id").alias("first_edge")] if "edge_id" in flows.columns else []
     return flows.groupBy(c("src_ip").alias("src"), c("dst_ip").alias("dst"), "protocol").agg(
         total("flow_count").alias("weight"), total("total_bytes").alias("total_bytes"),
-        F.count(F.lit(1)).alias("num_flows"))
+        F.count(F.lit(1)).alias("num_flows"), *first)
 
 
 def all_vertices(flows: DataFrame, nodes_ip: DataFrame) -> DataFrame:

@@ -46,18 +46,25 @@ def degree_histogram(degree: DataFrame, bins: int = 30) -> DataFrame:
     return degree.groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _merged(edges: DataFrame) -> list:
+    """Sums of the measures, and the protocol of the first edge (the least name where no order is known)."""
+    merged = [F.sum(n).alias(n) for n in ("weight", "total_bytes", "num_flows") if n in edges.columns]
+    if "protocol" in edges.columns and "first_edge" in edges.columns:
+        merged += [F.min_by("protocol", "first_edge").alias("protocol"), F.min("first_edge").alias("first_edge")]
+    elif "protocol" in edges.columns:
+        merged.append(F.min("protocol").alias("protocol"))
+    return merged
+
+
 def simplify(edges: DataFrame) -> DataFrame:
-    """Merge parallel edges (sums; the least protocol name stands for all) and drop loops."""
-    sums = [F.sum(n).alias(n) for n in ("weight", "total_bytes", "num_flows") if n in edges.columns]
-    name = [F.min("protocol").alias("protocol")] if "protocol" in edges.columns else []
-    return edges.where(c("src") != c("dst")).groupBy("src", "dst").agg(*sums, *name)
+    """Merge parallel edges and drop loops."""
+    return edges.where(c("src") != c("dst")).groupBy("src", "dst").agg(*_merged(edges))
 
 
 def collapse(edges: DataFrame) -> DataFrame:
     """Undirected edges ``src <= dst``: both directions merged."""
-    sums = [F.sum(n).alias(n) for n in ("weight", "total_bytes", "num_flows") if n in edges.columns]
-    name = [F.min("protocol").alias("protocol")] if "protocol" in edges.columns else []
-    return edges.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(*sums, *name)
+    return edges.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(
+        *_merged(edges))
 
 
 def strength(edges: DataFrame, vertices: DataFrame) -> DataFrame:
