@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from registry import graph_queries  # noqa: F401
+from registry.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
