@@ -74,7 +74,9 @@ def commerce_graph(spark: SparkSession, folder: str) -> PropertyGraph:
 
 
 def commerce_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """Edge ids: type number * 10^13 + row key (order key * 10 + line number for line items)."""
+    """Edge ids: type number * 10^13 + row key (order key * 10 + line number for line items, which repeats where
+    the source table repeats a line number).
+    """
     nation, customer, supplier, orders, lines = (
         table(spark, folder, t) for t in ("nation", "customer", "supplier", "orders", "lineitem"))
 

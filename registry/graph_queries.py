@@ -8,15 +8,13 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from meshlark.functions.scalars import joined_labels, utc_millis
-from meshlark.graph import EDGE_COLUMNS, NODE_COLUMNS, edge_faults, node_faults
+from meshlark.graph import PropertyGraph, edge_faults, node_faults
 from meshlark.operators import maintenance, pattern, temporal, traverse
 from meshlark.operators.flows import flows_to_edges, ip_nodes, packet_ips, packets_to_flows
 from meshlark.plans.lineage import shared_folder
-from meshlark.plans.topk import top_k
-from meshlark.graph import PropertyGraph
 from meshlark.sources import derived, export, frames, tables
 from registry import base
-from registry.base import EDGES, PAIRS, USERS, both_ways, ctes, flow_ctes, links_cte, query, reach_cte
+from registry.base import EDGES, PAIRS, USERS, ctes, flow_ctes, links_cte, query, reach_cte
 
 c = F.col
 Node, Edge = pattern.Node, pattern.Edge
@@ -77,7 +75,7 @@ def s03(spark, d):
 
 
 @query("s04_create_edges", """
-SELECT (SELECT count(*) FROM nation) + row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1 AS edge_id,
+SELECT (SELECT count(*) FROM nation) + row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) - 1 AS edge_id,
   l_orderkey AS src, l_partkey AS dst, 'CONTAINS' AS edge_type, CAST(1.0 AS DOUBLE) AS weight,
   0 AS properties, CAST(NULL AS BIGINT) AS valid_from FROM lineitem""")
 def s04(spark, d):
@@ -88,7 +86,7 @@ def s04(spark, d):
         "l_linenumber", c("l_orderkey").alias("src"), c("l_partkey").alias("dst"),
         F.lit("CONTAINS").alias("edge_type"))
     graph = PropertyGraph(nation, first)
-    made = frames.create_edges(lines, graph, order=["src", "l_linenumber"])
+    made = frames.create_edges(lines, graph, order=["src", "l_linenumber", "dst"])
     return made.select("edge_id", "src", "dst", "edge_type", "weight", F.size("properties").alias("properties"),
                        "valid_from")
 
@@ -481,5 +479,3 @@ def q12(spark, d):
     return found.select("o.node_id", c("o.properties.o_totalprice").alias("price")).orderBy(
         c("price").desc(), "node_id").limit(10)
 
-
-__all__ = ["EDGE_COLUMNS", "NODE_COLUMNS", "flow_graph", "top_k", "both_ways"]

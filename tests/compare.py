@@ -62,7 +62,7 @@ def session():
     from pyspark.sql import SparkSession
 
     spark = (SparkSession.builder.master("local[8]").appName("check").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.driver.memory", "16g")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "16g")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
