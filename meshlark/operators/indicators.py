@@ -55,7 +55,7 @@ def _high(profile: DataFrame, column: str, least: int) -> DataFrame:
     enters the filter as a scalar subquery.
     """
     histogram = profile.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    limit = histogram.agg(F.percentile(column, F.lit(0.9), "_n")).scalar()
+    limit = histogram.agg(F.percentile(column, F.lit(0.9), c("_n"))).scalar()
     return profile.where(c(column) >= F.greatest(limit, F.lit(float(least))))
 
 

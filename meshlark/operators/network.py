@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meshlark.functions.scalars import half_even
 from meshlark.graph import GraphError, PropertyGraph, check_at_least
-from meshlark.operators.traverse import Links, bfs, links_of, relax, shortest_path
+from meshlark.operators.traverse import bfs, links_of, relax, shortest_path
 from meshlark.plans import skew
 from meshlark.plans.lineage import forget, pinned, store
 from meshlark.plans.skew import Split, split_hot
@@ -254,7 +253,3 @@ def path_between_top_two(graph: PropertyGraph, ranks: DataFrame) -> DataFrame:
                    F.min_by("id", F.struct("r", -c("id"))).alias("to_node"), F.count(F.lit(1)).alias("n"))
     return shortest_path(graph, ends.where("n = 2").select("from_node", "to_node"))
 
-
-__all__ = ["Links", "betweenness", "centralities", "collapse", "community_sizes", "degree_frequency",
-           "degree_histogram", "degrees", "half_even", "map_edges", "map_nodes", "modularity", "pagerank",
-           "path_between_top_two", "reach_from_top", "simplify", "strength"]

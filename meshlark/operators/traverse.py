@@ -12,7 +12,7 @@ from meshlark.graph import (BOTH, INCOMING, OUTGOING, GraphError, PropertyGraph,
                             check_direction)
 from meshlark.operators.temporal import graph_at
 from meshlark.plans import skew
-from meshlark.plans.lineage import Stored, forget, store
+from meshlark.plans.lineage import forget, store
 from meshlark.plans.skew import Split, split_hot
 
 COMPACT_EVERY = 8
@@ -255,6 +255,3 @@ def _walk(forward: Links, pairs: DataFrame, distances: DataFrame) -> DataFrame:
         at = store(at.df.where("hops = 0").unionByName(moved))
     return at.df.select("from_node", "to_node", "path", "length", F.col("total").alias("cost"))
 
-
-__all__ = ["bfs", "bfs_at", "links_of", "neighbors", "neighbors_at", "shortest_path", "shortest_path_at",
-           "Links", "Stored"]
