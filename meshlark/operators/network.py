@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from meshlark.graph import GraphError, PropertyGraph, check_at_least
 from meshlark.operators.traverse import bfs, links_of, relax, shortest_path
-from meshlark.plans import skew
-from meshlark.plans.lineage import forget, pinned, store
-from meshlark.plans.skew import Split, split_hot
+from meshlark.plans.lineage import forget, store
+from meshlark.plans.skew import laid_out
 
 c = F.col
 
@@ -83,25 +82,22 @@ def pagerank(edges: DataFrame, vertices: DataFrame, damping: float = 0.85, tol:
     Every round spreads the newest mass ``fresh`` over the out-links; ``settled`` collects it. Mass at a vertex
     without out-links is lost on the way and the final scaling restores it, which equals spreading it evenly,
     so no round needs a global sum before it can start. Stops when a round changes less than ``tol`` in all.
-    The links are partitioned and checkpointed once, hot sources in slices; only the mass table moves.
+    Large links are bucketed once, hot sources in slices; only the mass table moves.
     """
     if not 0.0 < damping < 1.0:
         raise GraphError("damping must lie between 0 and 1")
     out = edges.groupBy("src").agg(F.sum("weight").alias("_out"))
     flow = store(edges.where("weight > 0").join(out, "src").select(
         "src", "dst", (c("weight") / c("_out") * damping).alias("share")))
-    split = (Split(flow.df.withColumn("slice", F.lit(0)), "src", None) if flow.rows <= skew.MIN_SLICE_ROWS
-             else split_hot(flow.df, "src", "dst", skew.MIN_SLICE_ROWS))
-    hot = None if split.hot is None else store(split.hot).df
-    split = Split(pinned(split.df, "src", "slice"), "src", hot)
+    arrows = laid_out(flow.df, flow.rows, "src", "dst")
     n = vertices.select("id").distinct().count()
     if not n:
         return vertices.select("id", F.lit(None).cast("double").alias("pagerank"))
     state = store(vertices.select("id").distinct().select(
         "id", F.lit(0.0).alias("settled"), F.lit(1.0 / n).alias("fresh")))
     for _ in range(max_rounds):
-        mass = split.spread(state.df.where("fresh > 0").select(c("id").alias("src"), "fresh"), "src")
-        sent = (split.df.join(mass, ["src", "slice"]).groupBy(c("dst").alias("id"))
+        mass = state.df.where("fresh > 0").select(c("id").alias("src"), "fresh")
+        sent = (arrows.joined(mass, "src").groupBy(c("dst").alias("id"))
                 .agg(F.sum(c("fresh") * c("share")).alias("got")))
         got = F.coalesce("got", F.lit(0.0))
         after = store(
@@ -135,7 +131,7 @@ def betweenness(edges: DataFrame, vertices: DataFrame, normalized: bool = True,
     ids = store(vertices.select("id").distinct())
     sources = ids.df if pivots is None else ids.df.join(pivots.select("id").distinct(), "id", "left_semi")
     n_sources = sources.count()
-    cost = store(relax(links, sources.withColumnRenamed("id", "origin")).select("origin", "node_id", "cost")).df
+    cost = relax(links, sources.withColumnRenamed("id", "origin"), hops=False)
     ahead = cost.select("origin", c("node_id").alias("dst"), c("cost").alias("cost_dst"))
     on_path = store(links.step(cost).join(ahead, ["origin", "dst"])
                     .where(c("cost") + c("weight") == c("cost_dst")).select("origin", "node_id", "dst")).df

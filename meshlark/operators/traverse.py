@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from meshlark.graph import (BOTH, INCOMING, OUTGOING, GraphError, PropertyGraph, check_at_least,
                             check_direction)
 from meshlark.operators.temporal import graph_at
-from meshlark.plans import skew
 from meshlark.plans.lineage import forget, store
-from meshlark.plans.skew import Split, split_hot
+from meshlark.plans.skew import Split, laid_out
 
 COMPACT_EVERY = 8
 
@@ -50,7 +49,7 @@ def neighbors_at(graph: PropertyGraph, ids: DataFrame, timestamp: int, direction
 
 @dataclass
 class Links:
-    """Distinct links ``(src, dst, weight, slice)`` in a written table, hot sources cut into slices."""
+    """Distinct links ``(src, dst, weight)`` in a written table, hot sources cut into slices."""
 
     split: Split
     rows: int
@@ -59,13 +58,10 @@ class Links:
     def step(self, frontier: DataFrame, key: str = "node_id") -> DataFrame:
         """Join frontier rows to the links that leave their node: adds ``dst`` and ``weight``.
 
-        A small frontier is broadcast by its exact file size, so the links do not move; a large one is
-        shuffled with hot sources spread over their slices.
+        A small frontier is broadcast by its exact file size, so the links do not move; for a large one only
+        the frontier is shuffled, because large links are bucketed.
         """
-        if self.split.hot is None:
-            return frontier.join(self.split.df.drop("slice").withColumnRenamed("src", key), key)
-        spread = self.split.spread(frontier, key)
-        return spread.join(self.split.df.withColumnRenamed("src", key), [key, "slice"]).drop("slice")
+        return self.split.joined(frontier, key)
 
 
 def _directed(edges: DataFrame, direction: str) -> DataFrame:
@@ -81,20 +77,12 @@ def links_of(edges: DataFrame, direction: str = OUTGOING, edge_type: str | None
     merged = (_directed(kept.where(F.col("src") != F.col("dst")), direction)
               .groupBy("src", "dst").agg(F.min("weight").alias("weight")))
     stored = store(merged, smallest=F.min("weight"))
-    return Links(_sliced(stored.df, stored.rows), stored.rows, stored.measures["smallest"])
-
-
-def _sliced(links: DataFrame, rows: int) -> Split:
-    """Cut hot sources; too few rows for a single hot source need no pass to find one."""
-    if rows <= skew.MIN_SLICE_ROWS:
-        return Split(links.withColumn("slice", F.lit(0)), "src", None)
-    split = split_hot(links, "src", "dst", skew.MIN_SLICE_ROWS)
-    return split if split.hot is None else Split(store(split.df).df, "src", store(split.hot).df)
+    return Links(laid_out(stored.df, stored.rows, "src", "dst"), stored.rows, stored.measures["smallest"])
 
 
 def _flipped(links: Links) -> Links:
     turned = links.split.df.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    return Links(_sliced(turned, links.rows), links.rows, links.smallest_weight)
+    return Links(laid_out(turned, links.rows, "src", "dst"), links.rows, links.smallest_weight)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -203,24 +191,25 @@ def _least_cost(back: Links, pairs: DataFrame) -> DataFrame:
     return found.withColumnRenamed("origin", "target")
 
 
-def relax(links: Links, origins: DataFrame, useful: Callable | None = None) -> DataFrame:
-    """``origin, node_id, cost, hops``: least (cost, hops) from every origin along the links.
+def relax(links: Links, origins: DataFrame, useful: Callable | None = None, hops: bool = True) -> DataFrame:
+    """``origin, node_id, cost[, hops]``: least (cost, hops) from every origin along the links.
 
     Each round extends only the rows that just improved, and rewrites the state in one job that also counts
-    the improvements. ``useful(active, state)`` may drop rows that need no extension.
+    the improvements. ``useful(active, state)`` may drop rows that need no extension. Without ``hops`` the
+    offers are plain numbers, which Spark aggregates by hash instead of by sorting.
     """
-    state = store(origins.select("origin", F.col("origin").alias("node_id"),
-                                 F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops")).alias("best"),
+    start = F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("hops")) if hops else F.lit(0.0)
+    dearer = (F.struct((F.col("best.cost") + F.col("weight")).alias("cost"), (F.col("best.hops") + 1).alias("hops"))
+              if hops else F.col("best") + F.col("weight"))
+    state = store(origins.select("origin", F.col("origin").alias("node_id"), start.alias("best"),
                                  F.lit(True).alias("changed")))
     moved = state.rows
     while moved:
         active = state.df.where("changed").select("origin", "node_id", "best")
         if useful is not None:
             active = useful(active, state.df)
-        offers = (links.step(active)
-                  .groupBy("origin", F.col("dst").alias("node_id"))
-                  .agg(F.min(F.struct((F.col("best.cost") + F.col("weight")).alias("cost"),
-                                      (F.col("best.hops") + 1).alias("hops"))).alias("offer")))
+        offers = (links.step(active).groupBy("origin", F.col("dst").alias("node_id"))
+                  .agg(F.min(dearer).alias("offer")))
         better = F.col("offer").isNotNull() & (F.col("best").isNull() | (F.col("offer") < F.col("best")))
         merged = state.df.drop("changed").join(offers, ["origin", "node_id"], "full").select(
             "origin", "node_id", F.when(better, F.col("offer")).otherwise(F.col("best")).alias("best"),
@@ -228,7 +217,8 @@ def relax(links: Links, origins: DataFrame, useful: Callable | None = None) -> D
         after = store(merged, changed=F.count_if("changed"))
         forget(state)
         state, moved = after, after.measures["changed"]
-    return state.df.select("origin", "node_id", "best.cost", "best.hops")
+    found = ["best.cost", "best.hops"] if hops else [F.col("best").alias("cost")]
+    return state.df.select("origin", "node_id", *found)
 
 
 def _walk(forward: Links, pairs: DataFrame, distances: DataFrame) -> DataFrame:

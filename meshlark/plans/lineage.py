@@ -57,12 +57,20 @@ def forget(stored: Stored) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def pinned(df: DataFrame, *keys: str) -> DataFrame:
-    """Partition a static loop input by ``keys`` once and checkpoint it reliably.
+def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """Write a static loop input once, bucketed by ``keys``; joins on ``keys`` in every round then move only the
+    other side. Callers split hot keys first (see ``skew``).
 
-    The checkpoint keeps its hash partitioning, so joins on ``keys`` in every round reuse it and only the
-    small side moves. Callers split hot keys first (see ``skew``).
+    The files lie in the shared folder. The catalog entry only carries the bucket layout into the plan and is
+    dropped at once, which leaves the files alone.
     """
-    shared_folder(df.sparkSession)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, *keys).checkpoint()
+    spark = df.sparkSession
+    name = f"meshlark_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{name}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(parts, *keys).write.format("parquet").bucketBy(parts, *keys).option("path", path)
+     .saveAsTable(name))
+    table = spark.table(name)
+    table.schema  # resolves the layout before the entry goes
+    spark.sql(f"DROP TABLE {name}")
+    return table
