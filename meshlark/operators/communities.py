@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meshlark.graph import GraphError
 from meshlark.plans.lineage import Stored, store
 from meshlark.plans.ordered import dense_ids
+from meshlark.plans.skew import Split, laid_out
 
 c = F.col
 MAX_LEVELS = 8
@@ -34,7 +35,7 @@ def louvain(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     two_m = arcs.measures["total"] or 0.0
     level_arcs = arcs
     for _ in range(MAX_LEVELS if two_m > 0 else 0):
-        found, moved = _local_moving(level_arcs.df, two_m)
+        found, moved = _local_moving(level_arcs, two_m)
         if not moved:
             break
         names = found.select(c("node").alias("at"), "community")
@@ -51,56 +52,55 @@ def _contract(arcs: DataFrame, found: DataFrame) -> DataFrame:
             .groupBy(c("a").alias("src"), c("b").alias("dst")).agg(F.sum("weight").alias("weight")))
 
 
-def _score(arcs: DataFrame, state: DataFrame, two_m: float) -> float:
-    side = lambda name, to: state.select(c("node").alias(name), c("community").alias(to))
-    within = (arcs.join(side("src", "a"), "src").join(side("dst", "b"), "dst").where("a = b")
-              .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("w")))
-    square = state.groupBy("community").agg(F.sum("strength").alias("t")).agg(F.sum(c("t") * c("t")).alias("w"))
-    inner, squares = (row.w for row in within.withColumn("o", F.lit(0)).unionByName(
-        square.withColumn("o", F.lit(1))).orderBy("o").collect())
-    return inner / two_m - squares / (two_m * two_m)
+def _local_moving(level: Stored, two_m: float) -> tuple[DataFrame, bool]:
+    """Best assignment ``node, community, strength`` of one level and whether anything moved for the better.
 
-
-def _local_moving(arcs: DataFrame, two_m: float) -> tuple[DataFrame, bool]:
-    """Best assignment ``node, community, strength`` of one level and whether anything moved for the better."""
+    The job that computes the next assignment also measures the current one, so a round is a single job.
+    """
+    arcs = level.df
     strengths = arcs.groupBy(c("src").alias("node")).agg(F.sum("weight").alias("strength"))
     state = store(strengths.select("node", c("node").alias("community"), "strength"))
-    best, best_score = state, _score(arcs, state.df, two_m)
-    improved, quiet = False, 0
+    own_loops = arcs.where(c("src") == c("dst")).agg(F.coalesce(F.sum("weight"), F.lit(0.0))).first()[0]
+    between = laid_out(arcs.where(c("src") != c("dst")), level.rows, "dst", "src")
+    best, best_score, improved, quiet = state, None, False, 0
     for turn in range(MAX_ROUNDS):
-        state = _move(arcs, state, two_m, down=turn % 2 == 0)
-        if not state.measures["moved"]:
+        after = _move(between, state, two_m, down=turn % 2 == 0)
+        inner, squares = after.measures["inner"] or 0.0, after.measures["squares"] or 0.0
+        score = (inner + own_loops) / two_m - squares / (two_m * two_m)
+        if best_score is None:
+            best_score = score
+        elif state is not best:
+            if score <= best_score + LEAST_GAIN:
+                break
+            best, best_score, improved = state, score, True
+        if after.measures["moved"]:
+            state, quiet = after, 0
+        else:
             quiet += 1
             if quiet == 2:
                 break
-            continue
-        quiet = 0
-        score = _score(arcs, state.df, two_m)
-        if score <= best_score + LEAST_GAIN:
-            break
-        best, best_score, improved = state, score, True
     return best.df.select("node", "community", "strength"), improved
 
 
-def _move(arcs: DataFrame, state: Stored, two_m: float, down: bool) -> Stored:
+def _move(between: Split, state: Stored, two_m: float, down: bool) -> Stored:
     here = state.df.select("node", "community", "strength")
     totals = here.groupBy("community").agg(F.sum("strength").alias("total"))
     there = here.select(c("node").alias("dst"), c("community").alias("target"))
     # Weight from each vertex to each neighbouring community; partial sums come before the shuffle.
-    toward = (arcs.where(c("src") != c("dst")).join(there, "dst")
-              .groupBy(c("src").alias("node"), "target").agg(F.sum("weight").alias("link")))
+    toward = (between.joined(there, "dst").groupBy(c("src").alias("node"), "target")
+              .agg(F.sum("weight").alias("link")))
     rated = (toward.join(here, "node").join(totals.withColumnRenamed("community", "target"), "target")
              .withColumn("own", c("target") == c("community"))
              .withColumn("others", c("total") - F.when(c("own"), c("strength")).otherwise(0.0))
              .withColumn("gain", c("link") - c("strength") * c("others") / two_m))
     allowed = c("target") < c("community") if down else c("target") > c("community")
     chosen = rated.groupBy("node").agg(
-        F.max(F.when(c("own"), c("gain"))).alias("stay"),
+        F.max(F.when(c("own"), c("gain"))).alias("stay"), F.max(F.when(c("own"), c("link"))).alias("inner"),
         F.max(F.when(~c("own") & allowed, F.struct("gain", "target"))).alias("go"))
-    own_total = here.join(totals, "community")
     staying = F.coalesce("stay", -c("strength") * (c("total") - c("strength")) / two_m)
     leaves = c("go").isNotNull() & (c("go.gain") > staying + LEAST_MOVE * two_m)
-    moved = own_total.join(chosen, "node", "left").select(
+    moved = here.join(totals, "community").join(chosen, "node", "left").select(
         "node", F.when(leaves, c("go.target")).otherwise(c("community")).alias("community"), "strength",
-        F.coalesce(leaves, F.lit(False)).alias("moved"))
-    return store(moved, moved=F.count_if("moved"))
+        F.coalesce(leaves, F.lit(False)).alias("moved"), F.coalesce("inner", F.lit(0.0)).alias("inner"),
+        (c("strength") * c("total")).alias("square"))
+    return store(moved, moved=F.count_if("moved"), inner=F.sum("inner"), squares=F.sum("square"))

@@ -319,7 +319,9 @@ def semantic_neighbors(graph: PropertyGraph, requests: DataFrame, direction: str
     """Neighbors ranked by similarity to a concept for ``requests(request_id, node_id, concept)``."""
     check_at_least("k", k, 1)
     check_columns(requests, "request_id", "node_id", "concept")
-    near = neighbors(graph, requests, direction).select("request_id", "node_id").distinct().toDF("at", "node_id")
+    # Written, so that Spark can send a short list of neighbors to the embeddings instead of shuffling those.
+    near = store(neighbors(graph, requests, direction).select(
+        F.col("request_id").alias("at"), "node_id").distinct()).df
     asked = requests.select("request_id", F.col("node_id").alias("at"), F.col("concept").alias("vector"))
     scored = (near.join(graph.nodes.select("node_id", "embedding"), "node_id").join(asked, "at")
               .withColumn("similarity", vectors.cosine(F.col("embedding"), F.col("vector")))
@@ -345,8 +347,9 @@ def semantic_walk(graph: PropertyGraph, requests: DataFrame, max_hops: int = 3,
     for _ in range(max_hops):
         if not walks.measures["moving"]:
             break
-        ahead = (links.step(walks.df.where("moving")).where(~F.array_contains("path", F.col("dst")))
-                 .join(targets, "dst")
+        options = store(links.step(walks.df.where("moving").select("request_id", "node_id", "path"))
+                        .where(~F.array_contains("path", F.col("dst"))).select("request_id", "dst")).df
+        ahead = (options.join(targets, "dst").join(walks.df.select("request_id", "vector"), "request_id")
                  .withColumn("similarity", F.round(vectors.cosine(F.col("embedding"), F.col("vector")),
                                                    COMPARE_DECIMALS))
                  .where("similarity is not null"))

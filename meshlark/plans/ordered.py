@@ -62,33 +62,36 @@ def dense_ids(df: DataFrame, name: str, start: int = 0, order: Sequence[str] = (
     return numbered.select((F.col("_place") + F.col("_offset") + start).alias(name), *df.columns)
 
 
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Null-safe match of group keys, because a key may be NULL (for example an unknown port)."""
+    match = F.lit(True)
+    for key in keys:
+        match = match & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return match
+
+
 def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[str],
                    totals: dict[str, Column]) -> DataFrame:
     """Inclusive running sums of ``totals`` per ``group`` along ``order``, for groups of any size.
 
-    Rows are range-partitioned by (group, order); a window runs inside each piece and the sums of earlier
-    pieces are added from a table with one row per (group, piece).
+    Rows are range-partitioned by (group, order); a window runs inside each piece. Only the first group of a
+    piece can go on from earlier pieces, so at most one carry row per piece is sent to all tasks.
     """
-    full = [*group, *order]
     named = df.select("*", *[column.alias(f"_add_{name}") for name, column in totals.items()])
-    placed = _in_order(named, full)
-    inside = Window.partitionBy(*group, "_piece").orderBy("_place")
+    placed = _in_order(named, [*group, *order])
+    inside = Window.partitionBy("_piece", *group).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = placed.groupBy(*group, "_piece").agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
+    pieces = placed.groupBy("_piece", *group).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in totals])
     carried = pieces.select(
-        *group, "_piece", *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_carry_{n}")
-                            for n in totals])
+        "_piece", *group, F.sum("_rows").over(before).alias("_earlier"),
+        *[F.sum(f"_sum_{n}").over(before).alias(f"_carry_{n}") for n in totals]).where("_earlier > 0")
     local = placed.select(
-        "*", *[F.sum(f"_add_{n}").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run_{n}")
-               for n in totals])
-    # Null-safe group match, because a group key may be NULL (for example an unknown port).
-    left, right = local.alias("l"), carried.alias("r")
-    match = F.col("l._piece") == F.col("r._piece")
-    for key in group:
-        match = match & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    return left.join(right, match).select(
+        *df.columns, "_piece", *[F.sum(f"_add_{n}").over(inside).alias(f"_run_{n}") for n in totals])
+    match = (F.col("l._piece") == F.col("r._piece")) & _same("l", "r", group)
+    return local.alias("l").join(F.broadcast(carried.alias("r")), match, "left").select(
         *[F.col(f"l.{c}") for c in df.columns],
-        *[(F.col(f"l._run_{n}") + F.col(f"r._carry_{n}")).alias(n) for n in totals],
+        *[(F.col(f"l._run_{n}") + F.coalesce(F.col(f"r._carry_{n}"), F.lit(0))).alias(n) for n in totals],
     )
 
 
@@ -100,12 +103,9 @@ def quantiles(df: DataFrame, group: Sequence[str], value: str, probs: dict[str,
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_totals(counted, group, [value], {"_upto": F.col("_n")})
-    sizes = counted.groupBy(*group).agg(F.sum("_n").alias("_size"))
-    left, right = ranked.alias("l"), sizes.alias("r")
-    match = F.lit(True)
-    for key in group:
-        match = match & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    rows = left.join(right, match).select(
+    # Written, so that Spark knows how small it is: one row per group.
+    sizes = store(counted.groupBy(*group).agg(F.sum("_n").alias("_size"))).df
+    rows = ranked.alias("l").join(sizes.alias("r"), _same("l", "r", group)).select(
         *[F.col(f"l.{c}") for c in (*group, value, "_n", "_upto")], F.col("r._size"))
     picks = []
     for name, p in probs.items():
