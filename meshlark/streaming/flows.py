@@ -28,8 +28,13 @@ def windowed_flows(packets: DataFrame, window: str = "1 minute", delay: str | No
 
 
 def session_flows(packets: DataFrame, gap: str = "5 minutes", delay: str | None = "1 minute") -> DataFrame:
-    """Flows that end after an idle ``gap``: ``session_start, ...flow key, measures``."""
+    """Flows that end after an idle ``gap``: ``session_start, ...flow key, measures``.
+
+    The ends are taken from the packets, not from the window column: Spark would push a later filter on the
+    window below the merging of sessions and cut sessions apart.
+    """
+    begin, end = F.min("ts").alias("session_start"), (F.max("ts") + F.expr(f"INTERVAL {gap}")).alias("session_end")
     flows = (timed_packets(packets, delay).groupBy(F.session_window("ts", gap).alias("w"), *FLOW_KEY)
-             .agg(*flow_measures()))
-    return flows.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *FLOW_KEY,
-                        "flow_count", "total_bytes", "valid_from", "valid_to")
+             .agg(begin, end, *flow_measures()))
+    return flows.select("session_start", "session_end", *FLOW_KEY, "flow_count", "total_bytes", "valid_from",
+                        "valid_to")
