@@ -72,9 +72,7 @@ def chunked_flows(packets: DataFrame, order: list[str], chunk_size: int = 50) ->
 
 def packet_ips(packets: DataFrame) -> DataFrame:
     """Distinct addresses of IP packets, column ``ip``."""
-    found = ip_packets(packets)
-    return (found.select(F.col("layer_2_src").alias("ip"))
-            .unionByName(found.select(F.col("layer_2_dst").alias("ip"))).distinct())
+    return ip_packets(packets).select(F.explode(F.array("layer_2_src", "layer_2_dst")).alias("ip")).distinct()
 
 
 def ip_nodes(registry: DataFrame) -> DataFrame:

@@ -203,5 +203,5 @@ def pair_protocol_totals(flows: DataFrame) -> DataFrame:
 
 def all_vertices(flows: DataFrame, nodes_ip: DataFrame) -> DataFrame:
     """Every address: sources, targets and nodes without edges."""
-    return (flows.select(c("src_ip").alias("ip")).union(flows.select("dst_ip")).union(nodes_ip.select("ip"))
-            .where("ip is not null").distinct())
+    ends = flows.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip"))
+    return ends.union(nodes_ip.select("ip")).where("ip is not null").distinct()

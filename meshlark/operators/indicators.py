@@ -12,21 +12,15 @@ c = F.col
 
 
 def source_profile(flows: DataFrame) -> DataFrame:
-    """Distinct targets and service ports, packets, bytes and flows sent per source.
+    """Distinct targets and known service ports, packets, bytes and flows sent per source.
 
-    Flows are first merged per (source, target, port), and distinct values are counted from those rows, so a
-    source that owns a third of all flows is pre-aggregated by many tasks.
+    One scan: Spark groups by (source, value) with partial aggregates before it groups by source, so a source
+    that owns a third of all flows is spread over many tasks.
     """
-    merged = flows.groupBy("src_ip", "dst_ip", "service_port").agg(
-        total("flow_count").alias("p"), total("total_bytes").alias("b"), F.count(F.lit(1)).alias("f"))
-    targets = merged.groupBy("src_ip", "dst_ip").agg(F.sum("p").alias("p"), F.sum("b").alias("b"), F.sum("f").alias("f"))
-    sent = targets.groupBy("src_ip").agg(
-        F.count(F.col("dst_ip")).alias("unique_dst_ips"), F.sum("p").alias("packets_sent"),
-        F.sum("b").alias("bytes_sent"), F.sum("f").alias("flows_out"))
-    ports = (merged.where("service_port is not null").select("src_ip", "service_port").distinct()
-             .groupBy("src_ip").agg(F.count(F.lit(1)).alias("unique_svc_ports")))
-    return (sent.join(ports, "src_ip", "left").fillna(0, ["unique_svc_ports"])
-            .select("src_ip", "unique_dst_ips", "unique_svc_ports", "packets_sent", "bytes_sent", "flows_out"))
+    return flows.groupBy("src_ip").agg(
+        F.count_distinct("dst_ip").alias("unique_dst_ips"), F.count_distinct("service_port").alias("unique_svc_ports"),
+        total("flow_count").alias("packets_sent"), total("total_bytes").alias("bytes_sent"),
+        F.count(F.lit(1)).alias("flows_out"))
 
 
 def incoming_profile(flows: DataFrame) -> DataFrame:

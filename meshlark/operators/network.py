@@ -16,16 +16,18 @@ from meshlark.plans.skew import laid_out
 c = F.col
 
 
-def _per_end(edges: DataFrame, end: str, measure, name: str) -> DataFrame:
-    return edges.groupBy(c(end).alias("id")).agg(measure.alias(name))
+def _ends(edges: DataFrame, *keep: str) -> DataFrame:
+    """Both ends of every edge from one scan: ``id, entering`` and the kept columns."""
+    end = lambda name, entering: F.struct(c(name).alias("id"), F.lit(entering).alias("entering"))
+    both = F.explode(F.array(end("dst", True), end("src", False))).alias("end")
+    return edges.select(both, *keep).select("end.id", "end.entering", *keep)
 
 
 def degrees(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """``id, degree_in, degree_out, degree_total``; a loop counts in and out, a vertex without edges has 0."""
-    count = F.count(F.lit(1))
-    return (vertices.select("id").join(_per_end(edges, "dst", count, "degree_in"), "id", "left")
-            .join(_per_end(edges, "src", count, "degree_out"), "id", "left")
-            .fillna(0, ["degree_in", "degree_out"])
+    counted = _ends(edges).groupBy("id").agg(
+        F.count_if("entering").alias("degree_in"), F.count_if(~c("entering")).alias("degree_out"))
+    return (vertices.select("id").join(counted, "id", "left").fillna(0, ["degree_in", "degree_out"])
             .withColumn("degree_total", c("degree_in") + c("degree_out")))
 
 
@@ -67,8 +69,7 @@ def collapse(edges: DataFrame) -> DataFrame:
 
 def strength(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """``id, strength``: weight of all edges that leave or enter a vertex."""
-    ends = edges.select(c("src").alias("id"), "weight").unionByName(edges.select(c("dst").alias("id"), "weight"))
-    summed = ends.groupBy("id").agg(F.sum("weight").cast("double").alias("strength"))
+    summed = _ends(edges, "weight").groupBy("id").agg(F.sum("weight").cast("double").alias("strength"))
     return vertices.select("id").join(summed, "id", "left").fillna(0.0, ["strength"])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshlark.graph import (BOTH, INCOMING, OUTGOING, GraphError, PropertyGraph, check_at_least,
@@ -27,16 +27,19 @@ def neighbors(graph: PropertyGraph, ids: DataFrame, direction: str = OUTGOING,
     edges = graph.edges if edge_type is None else graph.edges.where(F.col("edge_type") == edge_type)
     wanted = ids.select(F.col("node_id").alias("request_id")).distinct()
 
-    def side(near: str, far: str, name: str, found: DataFrame) -> DataFrame:
-        return found.join(wanted, F.col(near) == F.col("request_id")).select(
-            "request_id", F.col(far).alias("node_id"), "edge_id", "edge_type", F.lit(name).alias("direction"))
+    def side(near: str, far: str, name: str) -> Column:
+        return F.struct(F.col(near).alias("request_id"), F.col(far).alias("node_id"), F.lit(name).alias("direction"))
 
-    if direction == OUTGOING:
-        return side("src", "dst", OUTGOING, edges)
-    if direction == INCOMING:
-        return side("dst", "src", INCOMING, edges)
-    return side("src", "dst", OUTGOING, edges).unionByName(
-        side("dst", "src", INCOMING, edges.where(F.col("src") != F.col("dst"))))
+    out, back = side("src", "dst", OUTGOING), side("dst", "src", INCOMING)
+    if direction == BOTH:
+        # Both ends of a row come out of one scan of the edges.
+        loop = F.col("src") == F.col("dst")
+        ends = F.explode(F.when(loop, F.array(out)).otherwise(F.array(out, back))).alias("end")
+        rows = edges.select("edge_id", "edge_type", ends)
+    else:
+        rows = edges.select("edge_id", "edge_type", (out if direction == OUTGOING else back).alias("end"))
+    flat = rows.select("end.request_id", "end.node_id", "edge_id", "edge_type", "end.direction")
+    return flat.join(wanted, "request_id")
 
 
 def neighbors_at(graph: PropertyGraph, ids: DataFrame, timestamp: int, direction: str = OUTGOING,
@@ -65,9 +68,14 @@ class Links:
 
 
 def _directed(edges: DataFrame, direction: str) -> DataFrame:
-    flipped = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    forward = edges.select("src", "dst", "weight")
-    return {OUTGOING: forward, INCOMING: flipped, BOTH: forward.unionByName(flipped)}[direction]
+    """``src, dst, weight`` in walking direction; both directions come out of one scan."""
+    if direction == OUTGOING:
+        return edges.select("src", "dst", "weight")
+    if direction == INCOMING:
+        return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    way = lambda a, b: F.struct(F.col(a).alias("src"), F.col(b).alias("dst"))
+    ends = F.explode(F.array(way("src", "dst"), way("dst", "src"))).alias("end")
+    return edges.select(ends, "weight").select("end.src", "end.dst", "weight")
 
 
 def links_of(edges: DataFrame, direction: str = OUTGOING, edge_type: str | None = None) -> Links:
@@ -80,6 +88,13 @@ def links_of(edges: DataFrame, direction: str = OUTGOING, edge_type: str | None
     return Links(laid_out(stored.df, stored.rows, "src", "dst"), stored.rows, stored.measures["smallest"])
 
 
+def scanned_links(edges: DataFrame, direction: str = OUTGOING, edge_type: str | None = None) -> Links:
+    """The edge table itself as links, read again at every step."""
+    check_direction(direction)
+    kept = edges if edge_type is None else edges.where(F.col("edge_type") == edge_type)
+    return Links(Split(_directed(kept, direction), "src", None), 0, None)
+
+
 def _flipped(links: Links) -> Links:
     turned = links.split.df.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     return Links(laid_out(turned, links.rows, "src", "dst"), links.rows, links.smallest_weight)
@@ -96,17 +111,19 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def bfs(graph: PropertyGraph, starts: DataFrame, max_depth: int = 3, direction: str = OUTGOING,
-        edge_type: str | None = None) -> DataFrame:
+        edge_type: str | None = None, prepare: bool = True) -> DataFrame:
     """Nodes reached from each start with their least depth: ``start, node_id, depth``; a start has depth 0.
 
     One written frontier per level; unknown starts drop out. Stops when no start has a new node.
+    By default the links are merged and stored once. ``prepare=False`` reads the edge table at every level
+    instead: for few starts and levels over a stored table that saves shuffling all edges.
     """
     check_at_least("max_depth", max_depth, 0)
     seeds = starts.select(F.col("node_id").alias("start")).distinct()
     seeds = seeds.join(graph.nodes.select(F.col("node_id").alias("start")), "start", "left_semi")
     frontier = store(seeds.select("start", F.col("start").alias("node_id"), F.lit(0).alias("depth")))
     levels = [frontier.df]
-    links = links_of(graph.edges, direction, edge_type) if max_depth else None
+    links = (links_of if prepare else scanned_links)(graph.edges, direction, edge_type) if max_depth else None
     for depth in range(1, max_depth + 1):
         if not frontier.rows:
             break

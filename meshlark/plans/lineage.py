@@ -74,3 +74,10 @@ def bucketed(df: DataFrame, *keys: str) -> DataFrame:
     table.schema  # resolves the layout before the entry goes
     spark.sql(f"DROP TABLE {name}")
     return table
+
+
+def forget_all(spark: SparkSession) -> None:
+    """Delete all loop tables of this application. Results of loops can no longer be read afterwards."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -120,6 +120,8 @@ def test_bfs_brute_force(spark, both, hot, request):
     got = traverse.bfs(graph, ids_of(spark, 0, 5, 99), 2, "both" if both else "outgoing")
     want = {(s, v, d) for s in (0, 5) for v, d in depths(edges, s, 2, both).items()}
     assert {(r.start, r.node_id, r.depth) for r in got.collect()} == want
+    scanned = traverse.bfs(graph, ids_of(spark, 0, 5), 2, "both" if both else "outgoing", prepare=False)
+    assert {(r.start, r.node_id, r.depth) for r in scanned.collect()} == want
 
 
 def test_bfs_zero_depth_and_long_chain(spark):
