@@ -154,7 +154,8 @@ def port_service_name(port) -> Column:
 
 def service_table(spark: SparkSession) -> DataFrame:
     """The list as a DataFrame ``(service_port, service_name)``. Fixed size, safe to broadcast."""
-    return spark.createDataFrame(list(SERVICE_NAMES.items()), "service_port int, service_name string")
+    rows = ", ".join(f"({port}, '{name}')" for port, name in SERVICE_NAMES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS services(service_port, service_name)")
 
 
 def with_service_name(df: DataFrame, port: str = "service_port", into: str = "service_name") -> DataFrame:

@@ -12,35 +12,65 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meshlark.plans import skew
 from meshlark.plans.lineage import store
 
 
-def lead_in_buckets(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str],
+def _buckets(df: DataFrame, group: Sequence[str], at: str, width: int) -> DataFrame:
+    """Add ``_bucket`` and, inside it, ``_part``: stretches of the order that no single task is too small for.
+
+    A bucket of one group with more rows than a slice is cut into equal stretches of ``at``. At most
+    ``MAX_HOT_KEYS`` buckets can be that full, so their list can be broadcast.
+    """
+    cut = df.withColumn("_bucket", F.floor(F.col(at) / width))
+    total = cut.count()
+    if total <= skew.MIN_SLICE_ROWS:
+        return cut.withColumn("_part", F.lit(0).cast("long"))
+    slice_rows = max(skew.MIN_SLICE_ROWS, -(-total // skew.MAX_HOT_KEYS))
+    keys = [*group, "_bucket"]
+    full = (cut.groupBy(*keys).count().where(F.col("count") > slice_rows)
+            .select(*keys, F.ceil(F.col("count") / slice_rows).alias("_parts")))
+    inside = F.col(at) - F.col("_bucket") * width
+    return (cut.join(F.broadcast(full), keys, "left")
+            .withColumn("_part", F.coalesce(F.floor(inside * F.col("_parts") / width), F.lit(0)))
+            .drop("_parts"))
+
+
+def lead_in_buckets(df: DataFrame, group: Sequence[str], at: str, width: int, ties: Sequence[str],
                     take: Sequence[str], into: str) -> DataFrame:
-    """Add struct ``into``: columns ``take`` of the next row of the group in ``order``.
+    """Add struct ``into``: columns ``take`` of the next row of the group, ordered by number ``at`` and ``ties``.
 
-    ``bucket`` is a column that never falls along ``order``. The window runs per (group, bucket); only the
-    last row of a bucket needs the first row of the next non-empty bucket, found on one row per bucket.
+    The window runs per (group, bucket of ``at``); only the last row of a bucket needs the first row of the next
+    non-empty bucket, found on one row per bucket.
     """
-    keys = [*group, bucket]
+    cut = _buckets(df, group, at, width)
+    keys, order = [*group, "_bucket", "_part"], [at, *ties]
     inside = Window.partitionBy(*keys).orderBy(*order)
-    follower = F.lead(F.struct(*take)).over(inside)
-    heads = df.groupBy(*keys).agg(F.min_by(F.struct(*take), F.struct(*order)).alias("_head"))
-    after = Window.partitionBy(*group).orderBy(bucket)
+    heads = cut.groupBy(*keys).agg(F.min_by(F.struct(*take), F.struct(*order)).alias("_head"))
+    after = Window.partitionBy(*group).orderBy("_bucket", "_part")
     heads = heads.select(*keys, F.lead("_head").over(after).alias("_next_head"))
     return (
-        df.withColumn("_inside", follower)
+        cut.withColumn("_inside", F.lead(F.struct(*take)).over(inside))
         .join(heads, keys)
         .withColumn(into, F.coalesce("_inside", "_next_head"))
-        .drop("_inside", "_next_head")
+        .select(*df.columns, into)
     )
 
 
 def _in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Range-partition and sort by ``order``; store each row with its piece number and place in it."""
-    arranged = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    """Range-partition and sort by ``order``; store each row with its piece number and place in it.
+
+    Rows with equal order columns are told apart by a hash of the row, and copies of a row by the partition they
+    come from, so that many equal rows still spread over several pieces.
+    """
+    arranged = df
+    if order:
+        hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+        tagged = df.withColumns({"_hash": F.xxhash64(*hashed), "_from": F.spark_partition_id()})
+        keys = [*order, "_hash", "_from"]
+        arranged = tagged.repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = arranged.select(
-        "*",
+        *df.columns,
         F.spark_partition_id().alias("_piece"),
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place"),
     )

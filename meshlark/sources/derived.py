@@ -26,8 +26,7 @@ def activity_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Each event links its user to the user of the next event of the same type."""
     events = table(spark, folder, "events").select(
         "event_id", "user_id", "event_type", "value", utc_micros(F.col("ts")).alias("us"))
-    events = events.withColumn("hour", F.floor(F.col("us") / HOUR_US))
-    linked = lead_in_buckets(events, ["event_type"], "hour", ["us", "event_id"], ["us", "user_id"], "next")
+    linked = lead_in_buckets(events, ["event_type"], "us", HOUR_US, ["event_id"], ["us", "user_id"], "next")
     ms = lambda us: F.floor(us / 1000).cast("long")
     return linked.where("next.user_id is not null").select(
         F.col("event_id").alias("edge_id"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meshlark.operators import flows, flowstats, indicators
 from meshlark.operators.maintenance import get_or_create
-from meshlark.plans.ordered import dense_ids, lead_in_buckets, quantiles, running_totals
+from meshlark.plans.ordered import _in_order, dense_ids, lead_in_buckets, quantiles, running_totals
 from meshlark.sources.tables import PACKET_SCHEMA
 
 PACKETS = [
@@ -113,10 +113,14 @@ def hot_frame():
     return pd.DataFrame([("hot" if i % 3 else f"g{i % 5}", i, rnd.randrange(50)) for i in range(300)], columns=["g", "t", "v"])
 
 
-def test_lead_in_buckets(spark):
+@pytest.mark.parametrize("hot", [False, True])
+def test_lead_in_buckets(spark, hot, request):
+    if hot:
+        request.getfixturevalue("hot_keys")
     frame = hot_frame()
-    frame["b"] = frame.t // 11
-    got = lead_in_buckets(spark.createDataFrame(frame).repartition(6), ["g"], "b", ["t"], ["t", "v"], "next")
+    rows = spark.createDataFrame(frame).repartition(6)
+    got = lead_in_buckets(rows, ["g"], "t", 40, ["v"], ["t", "v"], "next")
+    assert got.columns == ["g", "t", "v", "next"]
     want = frame.sort_values("t").groupby("g").t.shift(-1)
     assert {r.t: (r.next.t if r.next else None) for r in got.collect()} == {
         t: (None if pd.isna(x) else int(x)) for t, x in zip(frame.t, want)}
@@ -131,6 +135,19 @@ def test_dense_ids(spark):
     assert dense_ids(rows.where("false"), "id").count() == 0
 
 
+def test_dense_ids_spread_copies(spark):
+    """A third of the rows are copies: no piece may hold them all."""
+    rows = spark.range(3000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny pieces would be merged again
+    try:
+        placed = _in_order(rows, ["k"]).where("k = 0").groupBy("_piece").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(placed) > 1 and sum(r["count"] for r in placed) == 1000
+    got = dense_ids(rows, "id", 0, ["k"]).orderBy("id").collect()
+    assert [r.id for r in got] == list(range(3000)) and [r.k for r in got] == sorted(r.k for r in got)
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_running_totals(spark, parts):
     frame = hot_frame()
