@@ -12,7 +12,8 @@ from meshlark.plans.skew import Split, laid_out
 
 c = F.col
 MAX_LEVELS = 8
-MAX_ROUNDS = 12
+MAX_ROUNDS = 20
+PATIENCE = 2
 LEAST_GAIN = 1e-7
 LEAST_MOVE = 1e-12
 
@@ -20,9 +21,10 @@ LEAST_MOVE = 1e-12
 def louvain(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """``id, community`` (communities numbered from 1) on undirected weighted edges, each stored once.
 
-    A level moves all vertices at once to their best neighbouring community, alternately only to smaller and
-    only to greater community names, so that two vertices never swap. The best assignment seen is kept, so
-    modularity never falls. Communities then become the vertices of the next level.
+    A round moves half of the vertices, chosen by a hash that changes every round, to their best neighbouring
+    community at once: moving all together would make neighbours swap places and crowd the same community. The
+    best assignment seen is kept, so modularity never falls. Communities then become the vertices of the next
+    level.
     """
     ids = store(vertices.select("id").distinct())
     if ids.rows < 3:
@@ -62,27 +64,24 @@ def _local_moving(level: Stored, two_m: float) -> tuple[DataFrame, bool]:
     state = store(strengths.select("node", c("node").alias("community"), "strength"))
     own_loops = arcs.where(c("src") == c("dst")).agg(F.coalesce(F.sum("weight"), F.lit(0.0))).first()[0]
     between = laid_out(arcs.where(c("src") != c("dst")), level.rows, "dst", "src")
-    best, best_score, improved, quiet = state, None, False, 0
-    for turn in range(MAX_ROUNDS):
-        after = _move(between, state, two_m, down=turn % 2 == 0)
+    best, best_score, improved, stale = state, None, False, 0
+    for turn in range(MAX_ROUNDS + 1):
+        after = _move(between, state, two_m, turn)
         inner, squares = after.measures["inner"] or 0.0, after.measures["squares"] or 0.0
         score = (inner + own_loops) / two_m - squares / (two_m * two_m)
         if best_score is None:
             best_score = score
-        elif state is not best:
-            if score <= best_score + LEAST_GAIN:
-                break
-            best, best_score, improved = state, score, True
-        if after.measures["moved"]:
-            state, quiet = after, 0
+        elif score > best_score + LEAST_GAIN:
+            best, best_score, improved, stale = state, score, True, 0
         else:
-            quiet += 1
-            if quiet == 2:
+            stale += 1
+            if stale == PATIENCE:
                 break
+        state = after
     return best.df.select("node", "community", "strength"), improved
 
 
-def _move(between: Split, state: Stored, two_m: float, down: bool) -> Stored:
+def _move(between: Split, state: Stored, two_m: float, turn: int) -> Stored:
     here = state.df.select("node", "community", "strength")
     totals = here.groupBy("community").agg(F.sum("strength").alias("total"))
     there = here.select(c("node").alias("dst"), c("community").alias("target"))
@@ -93,12 +92,12 @@ def _move(between: Split, state: Stored, two_m: float, down: bool) -> Stored:
              .withColumn("own", c("target") == c("community"))
              .withColumn("others", c("total") - F.when(c("own"), c("strength")).otherwise(0.0))
              .withColumn("gain", c("link") - c("strength") * c("others") / two_m))
-    allowed = c("target") < c("community") if down else c("target") > c("community")
     chosen = rated.groupBy("node").agg(
         F.max(F.when(c("own"), c("gain"))).alias("stay"), F.max(F.when(c("own"), c("link"))).alias("inner"),
-        F.max(F.when(~c("own") & allowed, F.struct("gain", "target"))).alias("go"))
+        F.max(F.when(~c("own"), F.struct("gain", "target"))).alias("go"))
     staying = F.coalesce("stay", -c("strength") * (c("total") - c("strength")) / two_m)
-    leaves = c("go").isNotNull() & (c("go.gain") > staying + LEAST_MOVE * two_m)
+    awake = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
+    leaves = awake & c("go").isNotNull() & (c("go.gain") > staying + LEAST_MOVE * two_m)
     moved = here.join(totals, "community").join(chosen, "node", "left").select(
         "node", F.when(leaves, c("go.target")).otherwise(c("community")).alias("community"), "strength",
         F.coalesce(leaves, F.lit(False)).alias("moved"), F.coalesce("inner", F.lit(0.0)).alias("inner"),

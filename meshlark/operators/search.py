@@ -25,7 +25,7 @@ from meshlark.plans.lineage import shared_folder, store
 from meshlark.plans.topk import top_k
 
 QUERY_BLOCK_BYTES = 32 << 20
-CELL_ROWS = 50_000
+CELL_BYTES = 64 << 20
 MAX_CELLS = 4096
 COMPARE_DECIMALS = 12
 HITS = "query_id long, node_id long, similarity double"
@@ -109,8 +109,9 @@ def _queries_of(queries: DataFrame) -> DataFrame:
         F.col("query_id").cast("long"), F.col("vector").cast("array<double>"))
 
 
-def _block_bytes(queries: DataFrame) -> int:
-    return (queries.agg(F.sum(F.size("vector") * 8 + 8)).first()[0]) or 0
+def _bytes(rows: DataFrame, vector: str) -> int:
+    """Size of a table of ids and vectors."""
+    return rows.agg(F.sum(F.size(vector).cast("long") * 8 + 8)).first()[0] or 0
 
 
 def _scan_with_block(nodes: DataFrame, queries: DataFrame, k: int, scale: float) -> DataFrame:
@@ -132,7 +133,7 @@ def _grid(nodes: DataFrame, queries: DataFrame, k: int, scale: float, size: int)
 
     Each side is repeated once per cut of the other; a task holds one cell and one block, both bounded.
     """
-    cells = max(1, -(-nodes.count() // CELL_ROWS))
+    cells = max(1, -(-_bytes(nodes, "embedding") // CELL_BYTES))
     blocks = max(1, -(-size // QUERY_BLOCK_BYTES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = (nodes.withColumn("cell", F.pmod(F.xxhash64("node_id"), F.lit(cells)).cast("int"))
@@ -154,7 +155,7 @@ def _compare_groups(left: DataFrame, right: DataFrame, keys: list[str], k: int,
 
 
 def _nearest(nodes: DataFrame, queries: DataFrame, k: int, scale: float = 1.0) -> DataFrame:
-    size = _block_bytes(queries)
+    size = _bytes(queries, "vector")
     if size <= QUERY_BLOCK_BYTES:
         return _scan_with_block(nodes, queries, k, scale)
     return _grid(nodes, queries, k, scale, size)
@@ -247,7 +248,7 @@ def approx_search(index: VectorIndex, queries: DataFrame, k: int = 10, probes: i
     # At most MAX_CELLS numbers: they prune the folders before any file is opened.
     cells = [row.cell for row in probed.select("cell").distinct().collect()]
     nodes = index.nodes(spark).where(F.col("cell").isin(cells)).select("node_id", "embedding", "cell")
-    size = _block_bytes(probed)
+    size = _bytes(probed, "vector")
     if size <= QUERY_BLOCK_BYTES:
         table = probed.toArrow()
         by_cell = {c: _unit_vectors(part["query_id"], part["vector"])
@@ -265,7 +266,7 @@ def approx_search(index: VectorIndex, queries: DataFrame, k: int = 10, probes: i
 
         return _ranked(nodes.mapInArrow(scan, HITS), k)
     counts = nodes.groupBy("cell").count()
-    chunks = counts.select("cell", F.ceil(F.col("count") / CELL_ROWS).cast("int").alias("chunks"))
+    chunks = counts.select("cell", F.ceil(F.col("count") * (index.size * 8 + 8) / CELL_BYTES).cast("int").alias("chunks"))
     blocks = max(1, -(-size // QUERY_BLOCK_BYTES))
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = (nodes.join(F.broadcast(chunks), "cell")

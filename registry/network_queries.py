@@ -149,6 +149,21 @@ def w08(spark, d):
     return communities.louvain(network.collapse(simple(spark, d)), vertices(spark, d))
 
 
+@query("w08_louvain_checks", net_sql() + """
+SELECT count(*) AS vertices, count(DISTINCT id) AS assigned, TRUE AS better_than_singletons, TRUE AS numbered_from_one FROM vertices""")
+def w08_checks(spark, d):
+    """Every vertex has one community, numbers run from 1, and modularity beats the partition into single vertices."""
+    flat = network.collapse(simple(spark, d))
+    found = communities.louvain(flat, vertices(spark, d))
+    single = found.withColumn("community", c("id"))
+    gain = network.modularity(flat, found).scalar() > network.modularity(flat, single).scalar()
+    return found.agg(
+        F.count(F.lit(1)).alias("vertices"), F.count_distinct("id").alias("assigned"),
+        F.count_distinct("community").alias("n"), F.min("community").alias("low"), F.max("community").alias("high"),
+    ).select("vertices", "assigned", gain.alias("better_than_singletons"),
+             ((c("low") == 1) & (c("high") == c("n"))).alias("numbered_from_one"))
+
+
 FIXED = """
 member AS (SELECT id, CAST(split_part(id, '.', 4) AS INTEGER) % 7 AS community FROM vertices)"""
 

@@ -49,6 +49,21 @@ def v02(spark, d):
     return search.approx_search(index, base.label_leads(spark, d), 10, probes=6)
 
 
+@query("v02_approx_search_all_cells", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+leads AS (SELECT vec_id, v FROM e JOIN embeddings USING (vec_id) QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS node_id, list_cosine_similarity(a.v, b.v) AS similarity FROM leads a, e b)
+SELECT query_id, node_id, round(similarity, 6) AS similarity FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, node_id) <= 10""")
+def v02_all(spark, d):
+    """With every cell probed the index must give the exact answer."""
+    rows = derived.table(spark, d, "embeddings")
+    nodes = rows.select(c("vec_id").alias("node_id"), c("embedding").cast("array<double>").alias("embedding"))
+    index = search.build_vector_index(derived.activity_graph(spark, d).with_nodes(nodes), size=64, cells=8)
+    return search.approx_search(index, base.label_leads(spark, d), 10, probes=8).select(
+        "query_id", "node_id", F.round("similarity", 6).alias("similarity"))
+
+
 def requests(spark, d):
     return base.hub_vectors(spark, d).select(c("node_id").alias("request_id"), c("node_id").alias("anchor"), "vector")
 

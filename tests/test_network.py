@@ -114,6 +114,11 @@ def test_louvain_quality_on_random_net(spark):
     rows = [(a, b, w) for (a, b), w in merged.items()]
     member = {int(r.id): r.community for r in communities.louvain(net(spark, rows), ids(spark, 20)).collect()}
     assert quality(rows, member) > max(0.0, quality(rows, {i: i for i in range(20)}))
+    # A dense network, where vertices that move all at once only crowd together.
+    rnd = random.Random(3)
+    dense = [(a, b, rnd.randint(1, 3) + 4 * (a % 4 == b % 4)) for a, b in itertools.combinations(range(40), 2)]
+    member = {int(r.id): r.community for r in communities.louvain(net(spark, dense), ids(spark, 40)).collect()}
+    assert quality(dense, member) >= 0.95 * quality(dense, {i: i % 4 for i in range(40)})
     with pytest.raises(GraphError):
         communities.louvain(net(spark, rows), ids(spark, 2))
 

@@ -62,7 +62,7 @@ def asked(spark, n=20, size=8):
 def test_scan_and_grid_are_exact(spark, grid, monkeypatch):
     if grid:
         monkeypatch.setattr(search, "QUERY_BLOCK_BYTES", 400)
-        monkeypatch.setattr(search, "CELL_ROWS", 100)
+        monkeypatch.setattr(search, "CELL_BYTES", 7200)
     graph, known = many(spark)
     rows, queries = asked(spark)
     got = search.vector_search(graph, queries, 7).orderBy("query_id", "rank").collect()
@@ -77,7 +77,7 @@ def test_approximate_search(spark, large, monkeypatch):
     index = search.build_vector_index(graph, size=8, cells=6)
     if large:
         monkeypatch.setattr(search, "QUERY_BLOCK_BYTES", 400)
-        monkeypatch.setattr(search, "CELL_ROWS", 100)
+        monkeypatch.setattr(search, "CELL_BYTES", 7200)
     want = {(q, i) for q, v in rows for i in exact(known, v, 5)}
     full = {(r.query_id, r.node_id) for r in search.approx_search(index, queries, 5, probes=6).collect()}
     assert full == want
