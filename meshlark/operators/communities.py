@@ -14,7 +14,7 @@ c = F.col
 MAX_LEVELS = 8
 MAX_ROUNDS = 20
 PATIENCE = 2
-LEAST_GAIN = 1e-7
+LEAST_GAIN = 1e-4
 LEAST_MOVE = 1e-12
 
 
@@ -71,10 +71,10 @@ def _local_moving(level: Stored, two_m: float) -> tuple[DataFrame, bool]:
         score = (inner + own_loops) / two_m - squares / (two_m * two_m)
         if best_score is None:
             best_score = score
-        elif score > best_score + LEAST_GAIN:
-            best, best_score, improved, stale = state, score, True, 0
         else:
-            stale += 1
+            stale = 0 if score > best_score + LEAST_GAIN else stale + 1
+            if score > best_score:
+                best, best_score, improved = state, score, True
             if stale == PATIENCE:
                 break
         state = after
@@ -83,23 +83,24 @@ def _local_moving(level: Stored, two_m: float) -> tuple[DataFrame, bool]:
 
 def _move(between: Split, state: Stored, two_m: float, turn: int) -> Stored:
     here = state.df.select("node", "community", "strength")
-    totals = here.groupBy("community").agg(F.sum("strength").alias("total"))
+    totals = here.groupBy(c("community").alias("target")).agg(F.sum("strength").alias("total"))
     there = here.select(c("node").alias("dst"), c("community").alias("target"))
-    # Weight from each vertex to each neighbouring community; partial sums come before the shuffle.
-    toward = (between.joined(there, "dst").groupBy(c("src").alias("node"), "target")
-              .agg(F.sum("weight").alias("link")))
-    rated = (toward.join(here, "node").join(totals.withColumnRenamed("community", "target"), "target")
+    # Weight from each vertex to each neighbouring community and, at least 0, to its own; partial sums come
+    # before the shuffle.
+    own = here.select("node", c("community").alias("target"), F.lit(0.0).alias("link"))
+    toward = (between.joined(there, "dst").select(c("src").alias("node"), "target", c("weight").alias("link"))
+              .unionByName(own).groupBy("node", "target").agg(F.sum("link").alias("link")))
+    rated = (toward.join(here, "node").join(totals, "target")
              .withColumn("own", c("target") == c("community"))
              .withColumn("others", c("total") - F.when(c("own"), c("strength")).otherwise(0.0))
              .withColumn("gain", c("link") - c("strength") * c("others") / two_m))
-    chosen = rated.groupBy("node").agg(
+    stays = rated.groupBy("node", "community", "strength").agg(
         F.max(F.when(c("own"), c("gain"))).alias("stay"), F.max(F.when(c("own"), c("link"))).alias("inner"),
+        F.max(F.when(c("own"), c("total"))).alias("total"),
         F.max(F.when(~c("own"), F.struct("gain", "target"))).alias("go"))
-    staying = F.coalesce("stay", -c("strength") * (c("total") - c("strength")) / two_m)
     awake = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
-    leaves = awake & c("go").isNotNull() & (c("go.gain") > staying + LEAST_MOVE * two_m)
-    moved = here.join(totals, "community").join(chosen, "node", "left").select(
+    leaves = F.coalesce(awake & (c("go.gain") > c("stay") + LEAST_MOVE * two_m), F.lit(False))
+    moved = stays.select(
         "node", F.when(leaves, c("go.target")).otherwise(c("community")).alias("community"), "strength",
-        F.coalesce(leaves, F.lit(False)).alias("moved"), F.coalesce("inner", F.lit(0.0)).alias("inner"),
-        (c("strength") * c("total")).alias("square"))
+        leaves.alias("moved"), "inner", (c("strength") * c("total")).alias("square"))
     return store(moved, moved=F.count_if("moved"), inner=F.sum("inner"), squares=F.sum("square"))

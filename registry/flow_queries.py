@@ -293,11 +293,12 @@ def n17(spark, d):
 
 
 @query("n18_size_by_protocol", flow_ctes() + """
-SELECT protocol, min(x) AS lowest, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
-  quantile_cont(x, 0.75) AS q3, max(x) AS highest
+SELECT protocol, round(min(x), 6) AS lowest, round(quantile_cont(x, 0.25), 6) AS q1,
+  round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q3, round(max(x), 6) AS highest
 FROM (SELECT protocol, total_bytes / flow_count AS x FROM flows WHERE flow_count > 0) GROUP BY protocol""")
 def n18(spark, d):
-    return flowstats.size_by_protocol(made_flows(spark, d))
+    found = flowstats.size_by_protocol(made_flows(spark, d))
+    return found.select("protocol", *[F.round(n, 6).alias(n) for n in found.columns[1:]])
 
 
 @query("n19_pair_protocol_totals", flow_ctes() + """

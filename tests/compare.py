@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -11,6 +12,7 @@ import duckdb
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
+STRICT = bool(os.environ.get("STRICT"))  # compare doubles bit by bit
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -24,7 +26,7 @@ def duck(folder: str):
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+        return "nan" if math.isnan(value) else value if STRICT else float(f"{value:.9g}")
     return value
 
 
