@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meshlark.operators.flows import FLOW_KEY, decoded_packets, flow_measures
+from meshlark.operators.flows import FLOW_KEY, decoded_packets, flow_measures, ip_packets
 
 
 def timed_packets(packets: DataFrame, delay: str | None) -> DataFrame:
-    """Decoded packets with event time ``ts``; ``delay`` sets the watermark of a stream."""
-    stamped = packets.withColumn("ts", F.timestamp_micros(F.col("tv_sec") * 1_000_000 + F.col("tv_usec")))
+    """Decoded packets with event time ``ts``; ``delay`` sets the watermark of a stream.
+
+    Only IP packets move the watermark. The filter stands first because Spark would move it there anyway.
+    """
+    stamped = ip_packets(packets).withColumn("ts", F.timestamp_micros(F.col("tv_sec") * 1_000_000 + F.col("tv_usec")))
     if delay is not None:
         stamped = stamped.withWatermark("ts", delay)
     return decoded_packets(stamped, "ts")

@@ -32,7 +32,7 @@ def finished(spark, rows):
 
 
 @query("x01_windowed_flows", ctes(PACKETS, ports_cte(), DECODED) + """
-, mark AS (SELECT (max(tv_sec * 1000000 + tv_usec) // 1000 - 3600000) * 1000 AS us FROM pk)
+, mark AS (SELECT (max(tv_sec * 1000000 + tv_usec) // 1000 - 3600000) * 1000 AS us FROM pk WHERE layer_2_id = 'IP')
 SELECT (ts_ms // 86400000) * 86400000 AS window_ms, src_ip, dst_ip, protocol, service_port, count(*) AS flow_count,
   CAST(coalesce(sum(size), 0) AS DOUBLE) AS total_bytes, min(ts_ms) AS valid_from, max(ts_ms) AS valid_to FROM decoded, mark
 WHERE (ts_ms // 86400000 + 1) * 86400000000 <= mark.us GROUP BY ALL""")
@@ -43,7 +43,7 @@ def x01(spark, d):
 
 
 @query("x02_session_flows", ctes(PACKETS, ports_cte(), DECODED) + """
-, mark AS (SELECT (max(tv_sec * 1000000 + tv_usec) // 1000 - 3600000) * 1000 AS us FROM pk),
+, mark AS (SELECT (max(tv_sec * 1000000 + tv_usec) // 1000 - 3600000) * 1000 AS us FROM pk WHERE layer_2_id = 'IP'),
 timed AS (SELECT d.*, tv_sec * 1000000 + tv_usec AS us FROM decoded d JOIN pk USING (packet_id)),
 flagged AS (SELECT *, CASE WHEN us - lag(us) OVER w < 21600000000 THEN 0 ELSE 1 END AS fresh FROM timed
   WINDOW w AS (PARTITION BY src_ip, dst_ip, protocol, service_port ORDER BY us)),
