@@ -33,10 +33,10 @@ words AS (SELECT first_id, list_filter(string_split_regex({ASCII_LOWER.format('t
 shingles AS (SELECT DISTINCT first_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT first_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
 sizes AS (SELECT first_id, count(*) AS n FROM shingles GROUP BY 1),
-shared AS (SELECT x.first_id AS a, y.first_id AS b, count(*) AS both FROM shingles x JOIN shingles y USING (s)
+shared AS (SELECT x.first_id AS a, y.first_id AS b, count(*) AS n_both FROM shingles x JOIN shingles y USING (s)
   WHERE x.first_id <> y.first_id GROUP BY ALL),
 links AS (SELECT a, b FROM shared JOIN sizes x ON x.first_id = a JOIN sizes y ON y.first_id = b
-  WHERE 5 * both >= 4 * (x.n + y.n - both)),
+  WHERE 5 * n_both >= 4 * (x.n + y.n - n_both)),
 reach(a, b) AS (SELECT first_id, first_id FROM texts UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
 SELECT d.doc_id, t.first_id, t.n_copies, (SELECT count(*) FROM links l WHERE l.a = t.first_id) AS n_links, c.class_id
 FROM documents d JOIN texts t ON t.text = coalesce(d.text, '')
@@ -45,3 +45,31 @@ def op1_jaccard_join(spark, d):
     from meshlark.llm.jaccard_join import jaccard_links
 
     return jaccard_links(documents(spark, d), width=5, threshold=0.8).drop("digest")
+
+
+@query("op2_packing")
+def op2_packing(spark, d):
+    import public_tokenizers
+
+    from meshlark.llm.packing import pack, piece_digest
+
+    pieces = pack(documents(spark, d), public_tokenizers.path("word_bpe_49k.json"), length=2048, end_id=1)
+    return pieces.select("doc_id", "start", *piece_digest(), "doc_tokens", "sequence_id", "offset", "padded_length")
+
+
+@query("op3_topk_search", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10""")
+def op3_topk_search(spark, d):
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.topk_search import largest_products, scaled
+
+    vectors = scaled(spark.read.parquet(f"{d}/embeddings.parquet"))
+    return largest_products(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
