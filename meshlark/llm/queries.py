@@ -73,3 +73,32 @@ def op3_topk_search(spark, d):
 
     vectors = scaled(spark.read.parquet(f"{d}/embeddings.parquet"))
     return largest_products(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+@query("op4_language_id")
+def op4_language_id(spark, d):
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.language_id import fit_language_model, identify
+
+    docs = documents(spark, d).select("doc_id", "text", "lang", "source")
+    found = identify(docs, fit_language_model(docs), declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", "language", "language_posterior", F.col("lang").alias("declared"), "language_kept")
+
+
+@query("language_of_pages")
+def language_of_pages(spark, d):
+    from meshlark.llm.language_id import fit_language_model, identify, page_evidence, page_text
+
+    pages = spark.read.parquet(f"{d}/pages.parquet").withColumn("text", page_text())
+    found = identify(pages, fit_language_model(documents(spark, d)), **page_evidence())
+    return found.select("page_id", "url", "language", "language_posterior", "language_kept")
+
+
+@query("op5_suffix_tree_lm")
+def op5_suffix_tree_lm(spark, d):
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.suffix_tree_lm import score_texts
+
+    return score_texts(documents(spark, d), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
