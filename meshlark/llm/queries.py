@@ -102,3 +102,14 @@ def op5_suffix_tree_lm(spark, d):
     from meshlark.llm.suffix_tree_lm import score_texts
 
     return score_texts(documents(spark, d), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
+@query("op6_suffix_repeats")
+def op6_suffix_repeats(spark, d):
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.repeats import remove_repeats
+
+    cut = remove_repeats(documents(spark, d), length=400)
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
