@@ -113,3 +113,51 @@ def op6_suffix_repeats(spark, d):
     cut = remove_repeats(documents(spark, d), length=400)
     return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_source_mixing", """
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce('=' || source, '') AS s,
+  len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D ]+')) AS tokens FROM documents),
+src AS (SELECT s, CAST(sum(tokens) AS BIGINT) AS t FROM d GROUP BY s),
+every AS (SELECT sum(t)::BIGINT AS total, max(t)::DOUBLE AS top FROM src),
+search(low, high) AS (SELECT 0, 1000000 UNION ALL
+  SELECT CASE WHEN fits THEN low ELSE m + 1 END, CASE WHEN fits THEN m ELSE high END FROM (
+    SELECT low, high, m, (SELECT any_value(total) * pow(min(t / top), m / 1000000.0::DOUBLE - 1)
+        / (sum(pow(t / top, m / 1000000.0::DOUBLE)) * any_value(top)) <= 2.0::DOUBLE * (1 + 1e-12)
+      FROM src, every WHERE t > 0) AS fits
+    FROM (SELECT low, high, (low + high) // 2 AS m FROM search WHERE low < high))),
+alpha AS (SELECT low / 1000000.0::DOUBLE AS a FROM search WHERE low = high),
+power AS (SELECT sum(pow(t / top, a)) AS z FROM src, every, alpha WHERE t > 0),
+plan AS (SELECT s, t, CASE WHEN t > 0 THEN floor(total::DOUBLE * (pow(t / top, a) / z))::BIGINT ELSE 0 END AS budget,
+    greatest(ceil(t / 1000000.0::DOUBLE), 1)::BIGINT AS blocks FROM src, every, alpha, power),
+placed AS (SELECT d.*, t, budget, ('0x' || substr(md5('0:block:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % blocks AS block
+  FROM d JOIN plan USING (s)),
+held AS (SELECT s, block, sum(tokens)::BIGINT AS h, floor(any_value(budget) * (sum(tokens)::DOUBLE / any_value(t)))::BIGINT AS own
+  FROM placed GROUP BY s, block),
+parts AS (SELECT s, block, CASE WHEN h > 0 THEN own // h ELSE 1 END AS whole, CASE WHEN h > 0 THEN own % h ELSE 0 END AS rest
+  FROM held),
+runs AS (SELECT p.*, whole, rest, sum(tokens) OVER (PARTITION BY p.s, p.block
+    ORDER BY md5('0:' || whole || ':' || coalesce(doc_id::VARCHAR, ''))
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM placed p JOIN parts b ON b.s = p.s AND b.block = p.block)
+SELECT doc_id, source, e AS mix_epoch, block AS mix_block, tokens AS mix_tokens,
+  row_number() OVER (PARTITION BY s, block, e ORDER BY md5('0:' || e || ':' || coalesce(doc_id::VARCHAR, ''))) AS place
+FROM (SELECT *, unnest(range(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS e FROM runs)""")
+def op7_source_mixing(spark, d):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.mixing import mix, word_count
+
+    counted = documents(spark, d).select("doc_id", "source", word_count().alias("tokens"))
+    mixed = mix(counted, most_repeats=2.0, tokens=F.col("tokens"))
+    order = Window.partitionBy("source", "mix_block", "mix_epoch").orderBy("mix_key")
+    return mixed.select("doc_id", "source", "mix_epoch", "mix_block", "mix_tokens",
+                        F.row_number().over(order).cast("long").alias("place"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark, d):
+    from meshlark.llm.fingerprints import edited_likeness
+
+    return edited_likeness(documents(spark, d))
