@@ -161,3 +161,33 @@ def op8_fingerprints(spark, d):
     from meshlark.llm.fingerprints import edited_likeness
 
     return edited_likeness(documents(spark, d))
+
+
+@query("op9_quality")
+def op9_quality(spark, d):
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.quality import fit_quality, score_quality
+
+    docs, labels = documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = fit_quality(docs, labels, ~held_out)
+    scored = score_quality(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op10_personal_data")
+def op10_personal_data(spark, d):
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.personal_data import KINDS, find_personal_data, joined
+
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    added = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added")
+    return find_personal_data(documents(spark, d)).select(
+        "doc_id", *[count(k) for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), added)
