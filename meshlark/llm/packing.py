@@ -20,8 +20,10 @@ from meshlark.plans.lineage import store
 from meshlark.plans.ordered import running_totals
 
 DIMENSIONS, BITS, BUCKETS = 3, 16, 4096
-#: Encoded words that a Python worker remembers; beyond that it starts anew.
-REMEMBERED = 250_000
+#: Encoded words that a Python worker remembers.
+REMEMBERED = 500_000
+#: Signs that the tokenizer takes as one word where they follow letters: all of ASCII but the apostrophe.
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 PIECE_SCHEMA = ("doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long, "
                 "padded_length long, curve_key long")
 _PROJECTION = np.random.RandomState(11).standard_normal((BUCKETS, DIMENSIONS))
@@ -31,7 +33,8 @@ class WordEncoder:
     """Token ids of whole texts, each distinct word encoded once.
 
     The tokenizer's rules never look across ASCII white space and ignore case, so a text's ids are those of its
-    words in turn; ids are kept as bytes (16 bits each) and joined.
+    words in turn; ids are kept as bytes (16 bits each) and joined. Runs of letters are encoded many at a time: each
+    ends in a token that ends a word. Signs after such a run are a word of their own.
     """
 
     def __init__(self, path: str):
@@ -39,32 +42,62 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known = {}
-        for start in range(0, len(words), 5000):
-            part = words[start:start + 5000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, code in zip(part, coded):
-                self.known[word] = np.array(code.ids, "<u2").tobytes()
+    def _letters(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            return self._any(words)
+        raw, at = ids.tobytes(), [0, *(2 * stops).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def _any(self, words: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(c.ids, "<u2").tobytes() for c in coded]
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not known."""
+        known = self.known
+        parts, letters, other = [], set(), set()
+        for word in words:
+            run = word.rstrip(_SIGNS)
+            text = run.decode()
+            if text.isalpha() and max(text) <= "\xff":
+                signs = word[len(run):]
+                if run not in known:
+                    letters.add(run)
+                if signs and signs not in known:
+                    other.add(signs)
+                parts.append((word, run, signs))
+            else:
+                other.add(word)
+                parts.append((word, word, b""))
+        ids = {b"": b""}
+        for kind, encode in ((list(letters), self._letters), (list(other), self._any)):
+            for start in range(0, len(kind), 5000):
+                part = kind[start:start + 5000]
+                ids.update(zip(part, encode([w.decode() for w in part])))
+
+        def of(piece: bytes) -> bytes:
+            found = ids.get(piece)
+            return known[piece] if found is None else found
+
+        return {word: of(run) + of(signs) for word, run, signs in parts}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         # Strings such as <|endoftext|> are tokens in this spelling only.
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        distinct = set().union(*split) if split else set()
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self.known = {}
-        new = [w for w in distinct if w not in self.known]
-        # A full stop or comma at the end, after an ASCII letter, is a token of its own.
-        ends = [w for w in new if w[-1:] in (b",", b".") and w[-2:-1].isalpha()]
-        plain = {w for w in new if not (w[-1:] in (b",", b".") and w[-2:-1].isalpha())}
-        plain |= {w[:-1] for w in ends} | {b",", b"."}
-        self._learn([w for w in plain if w not in self.known])
-        self.known.update({w: self.known[w[:-1]] + self.known[w[-1:]] for w in ends})
         known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in ws]), "<u2") for ws in split]
+        new = self._learn(set().union(*split).difference(known)) if split else {}
+        known.update(new)
+        coded = [np.frombuffer(b"".join([known[w] for w in ws]), "<u2") for ws in split]
+        if len(known) > REMEMBERED:  # the words seen first hold the frequent ones; these go
+            for word in new:
+                del known[word]
+        return coded
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -103,9 +136,8 @@ def curve_keys(texts: list[np.ndarray]) -> np.ndarray:
     flat = np.zeros((len(texts), DIMENSIONS))
     for row, ids in enumerate(texts):
         if len(ids):
-            counts = np.sqrt(np.bincount((ids * np.uint32(2654435761) >> np.uint32(20)) if ids.dtype == np.uint32 else
-                                         (ids.astype(np.uint32) * np.uint32(2654435761) >> np.uint32(20)),
-                                         minlength=BUCKETS))
+            bucket = ids.astype(np.uint32) * np.uint32(2654435761) >> np.uint32(20)
+            counts = np.sqrt(np.bincount(bucket, minlength=BUCKETS))
             flat[row] = counts @ _PROJECTION / np.sqrt((counts * counts).sum())
     cells = (1 / (1 + np.exp(-1.702 * flat)) * (1 << BITS)).astype(np.int64).clip(0, (1 << BITS) - 1)
     return hilbert_key(cells)
