@@ -8,7 +8,9 @@ off again (b-bit MinHash, Li and Koenig 2010).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil, isqrt
+from random import Random
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,9 @@ BIN_BITS = 7
 BINS = 1 << BIN_BITS
 VALUE_BITS = 8
 WIDTH = 5
+_RANDOM = Random(17)
+#: For each bin the first bins that an empty one looks at.
+_PROBES = [[_RANDOM.randrange(BINS) for _ in range(BINS)] for _ in range(6)]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,14 +49,19 @@ def with_codes(df: DataFrame, text: str, into: str, width: int = WIDTH) -> DataF
     least = F.filter(F.col(h), lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(F.col(h), i - 1))))
     df = df.withColumn(f, least).drop(h)
     low = lambda x: x.bitwiseAND((1 << VALUE_BITS) - 1)
-    df = df.withColumn(m, F.map_from_arrays(F.transform(f, _bin), F.transform(f, low)))
+    own = F.map_from_arrays(F.transform(f, _bin), F.transform(f, low))
+    df = df.withColumn(m, own)
+    d = f"_{into}_d"
+    bins = F.sequence(F.lit(0), F.lit(BINS - 1))
+    df = df.withColumn(d, F.transform(bins, lambda b: F.element_at(F.col(m), b.cast("long")).cast("smallint"))).drop(m)
 
-    def value(b: Column) -> Column:
-        lent = F.array_min(F.transform(F.col(f), lambda x: F.struct(F.xxhash64(b, _bin(x)).alias("o"), low(x).alias("v"))))
-        return F.coalesce(F.element_at(F.col(m), b), lent["v"])
+    def value(x: Column, b: Column) -> Column:
+        # The first filled bin in the order of bin b: some places are looked up, the rest follow by hash.
+        tried = [F.get(F.col(d), F.get(F.array(*[F.lit(j) for j in probe]), b)) for probe in _PROBES]
+        after = F.array_min(F.transform(F.col(f), lambda y: F.struct(F.xxhash64(b, _bin(y)).alias("o"), low(y).alias("v"))))
+        return F.coalesce(x, *tried, after["v"].cast("smallint"))
 
-    codes = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")), lambda b: value(b).cast("smallint"))
-    return df.withColumn(into, F.when(F.size(f) > 0, codes)).drop(f, m)
+    return df.withColumn(into, F.when(F.size(f) > 0, F.transform(F.col(d), value))).drop(f, d)
 
 
 def packed(codes: str) -> Column:
@@ -85,8 +95,9 @@ def _piece(ids: DataFrame, rows: int, piece_rows: int) -> Column:
     return F.when(F.col("doc_id") >= bounds[0], group * step + within).otherwise(0)
 
 
-def with_next(docs: DataFrame, columns: list[str], piece_rows: int = 2_000) -> DataFrame:
-    """Add ``next``, a struct of ``columns`` of the row that follows by ``doc_id`` (ties by text); after the last row
+def with_next(docs: DataFrame, columns: list[str], piece_rows: int = 2_000,
+              derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Add the columns of ``derive``, a function of the row, and ``next``, a struct of ``columns`` of the row that follows by ``doc_id`` (ties by text); after the last row
     comes the first. Null ids come first.
 
     Rows move once, to their stretch of ids, where a window finds the next; only the last row of a stretch needs the
@@ -99,33 +110,37 @@ def with_next(docs: DataFrame, columns: list[str], piece_rows: int = 2_000) -> D
     heads = store(cut.groupBy("_piece").agg(F.min("_order").alias("_first"))).df
     chosen = cut.alias("c").join(heads.alias("h"), (F.col("c._piece") == F.col("h._piece"))
                                  & F.col("c._order").eqNullSafe(F.col("h._first")))
-    chosen = store(chosen.select("c._piece", F.struct(*[F.col(f"c.{c}") for c in columns]).alias("_head"))).df
-    chosen = chosen.dropDuplicates(["_piece"])  # rows that repeat the first
+    # One row per stretch, and rows that repeat it; only of these is anything derived here.
+    chosen = store(chosen.select("c.*")).df.dropDuplicates(["_piece"])
+    chosen = store(derive(chosen).select("_piece", F.struct(*columns).alias("_head"))).df
     follow = Window.orderBy("_piece")
     order = heads.select("_piece", F.lead("_piece").over(follow).alias("_after"))  # one short row per stretch
     order = order.withColumn("_after", F.coalesce("_after", F.lit(0) + _least(heads)))
     after = store(order.join(chosen.withColumnRenamed("_piece", "_after"), "_after").select("_piece", "_head")).df
     inside = Window.partitionBy("_piece").orderBy("_order")
-    led = cut.withColumn("_in", F.lead(F.struct(*columns)).over(inside)).join(after, "_piece")
-    return led.withColumn("next", F.coalesce("_in", "_head")).select(*docs.columns, "next")
+    led = derive(cut).withColumn("_in", F.lead(F.struct(*columns)).over(inside)).join(after, "_piece")
+    return led.withColumn("next", F.coalesce("_in", "_head")).drop("_in", "_head", "_piece", "_order")
 
 
 def _least(heads: DataFrame) -> Column:
     return F.lit(heads.agg(F.min("_piece")).first()[0])
 
 
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, text, codes`` for each row of ``docs`` (columns ``doc_id``, ``text``); null text is empty. Compare
     ``codes`` by ``likeness``, write them by ``packed``. Equal texts have equal codes."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return with_codes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")), "text", "codes")
+    return with_codes(_plain(docs), "text", "codes")
 
 
 def edited_likeness(docs: DataFrame) -> DataFrame:
     """For each row of ``docs`` its fingerprint, that of its edited text, and how like its own they and the next
     row's are. Edited: the last half of the code points, rounded down, is replaced by the first as many (or all) of
     the next text. Repeated rows follow each other; a single row follows itself; an empty table gives no rows."""
-    both = with_next(fingerprints(docs), ["text", "codes"])
+    both = with_next(_plain(docs), ["text", "codes"], derive=lambda df: with_codes(df, "text", "codes"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next.text", F.lit(1), half))
     both = both.withColumn("edited", edited).withColumn("next_codes", F.col("next.codes"))
