@@ -32,7 +32,7 @@ STATE_SHARE, PAIR_SHARE = 1e-5, 1e-6
 #: Bits that a state must save over its suffix to be kept.
 LEAST_GAIN = 16.0
 #: The most frequent tokens, sent to all tasks; the counts of all others are joined.
-HEAD = 1 << 18
+HEAD = 200_000
 #: Distinct tokens that a counting task holds before it passes them on.
 HELD = 200_000
 
@@ -220,6 +220,23 @@ def _score(tree):
     return kernel
 
 
+def _head(tokens: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent tokens, most frequent first: all with a count above that at which ``HEAD`` would be exceeded.
+
+    The number of tokens per count says where that is, so no task sorts or sends more than it holds of them.
+    """
+    sizes = tokens.where("n > 0").groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).toArrow()
+    n, many = sizes["n"].to_numpy(), sizes["tokens"].to_numpy()
+    order = np.argsort(-n)
+    fits = np.flatnonzero(np.cumsum(many[order]) <= HEAD)
+    if not len(fits):
+        return [], np.zeros(0, np.int64)
+    top = tokens.where(F.col("n") >= int(n[order][fits[-1]])).toArrow()
+    names, counts = [t.encode() for t in top["token"].to_pylist()], top["n"].to_numpy()
+    order = sorted(range(len(names)), key=lambda i: (-counts[i], names[i]))
+    return [names[i] for i in order], counts[order].astype(np.int64)
+
+
 def score_texts(docs: DataFrame, held_out, state_share: float = STATE_SHARE, pair_share: float = PAIR_SHARE,
                 least_gain: float = LEAST_GAIN) -> DataFrame:
     """One row per row of ``docs`` (columns ``doc_id``, ``text``): ``doc_id, held_out, n_tokens, n_known,
@@ -252,8 +269,7 @@ def score_texts(docs: DataFrame, held_out, state_share: float = STATE_SHARE, pai
     # Half of the mass is free where no word was learned.
     unknown, end = (discount * words / total, ends / total) if words else (0.5, 0.5)
 
-    top = tokens.df.orderBy(F.desc("n"), "token").limit(HEAD).toPandas()
-    counts = top["n"].to_numpy(dtype=np.int64)
+    names, counts = _head(tokens.df)
     share = np.where(counts > 0, (counts - discount) / max(total, 1), unknown)
     letters = counts[:ALPHABET]
     root = np.full(END + 1, unknown)  # numbers without a token are never looked up
@@ -262,7 +278,7 @@ def score_texts(docs: DataFrame, held_out, state_share: float = STATE_SHARE, pai
     root[END] = max(end, 1e-300)
     tree = SuffixTree(np.log(root))
     other = float(np.log10(root[OTHER]))
-    head = spark.sparkContext.broadcast(([t.encode() for t in top["token"]], counts, np.log10(share)))
+    head = spark.sparkContext.broadcast((names, counts, np.log10(share)))
     parts = store(texts.mapInArrow(_encode(head, total, distinct, ends, other), _PARTS)).df
     coded = parts.where("token IS NULL")
 
@@ -277,8 +293,8 @@ def score_texts(docs: DataFrame, held_out, state_share: float = STATE_SHARE, pai
             break
         after = (coded.where(~F.col("held_out")).select("coded")
                  .mapInArrow(_count_after(states, depth, counted), "packed long, n long")
-                 .groupBy("packed").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair).toPandas())
-        packed, n = after["packed"].to_numpy(dtype=np.int64).view(np.uint64), after["n"].to_numpy(dtype=np.int64)
+                 .groupBy("packed").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair).toArrow())
+        packed, n = after["packed"].to_numpy().view(np.uint64), after["n"].to_numpy()
         tree.grow(packed >> np.uint64(16), packed & np.uint64(0xFFFF), n, least_gain, totals)
         longer = (n >= least_state) & ((packed & np.uint64(0xFFFF)) < OTHER)
         totals = dict(zip(packed[longer].tolist(), n[longer].tolist()))
