@@ -76,9 +76,9 @@ def fit_language_model(docs: DataFrame, label: str = "lang", text: str = "text",
     """Trigram counts of all rows whose ``label`` is one of ``languages``; a task sends one count per language and
     bucket at most, and the driver gets ``len(languages) * BUCKETS`` sums at most."""
     rows = docs.where(F.col(label).isin(*languages)).select(common.text_or_empty(text).alias("text"), F.col(label).alias("label"))
-    cells = rows.mapInArrow(_counts(languages), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    cells = rows.mapInArrow(_counts(languages), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(languages) * BUCKETS)
-    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    counts[cells["cell"].to_numpy().astype(np.int64)] = cells["n"].to_numpy()
     counts = counts.reshape(len(languages), BUCKETS)
     share = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * BUCKETS)
     return LanguageModel(tuple(languages), np.log(share).T.astype(np.float32).copy())
