@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshlark.plans.lineage import store
@@ -121,14 +121,12 @@ def mix(docs: DataFrame, source: str = "source", budget_share: float = 1.0, most
     def placed(df: DataFrame) -> DataFrame:
         return df.withColumn("_source", name).join(plan, "_source").withColumn("mix_block", place % F.col("_blocks"))
 
-    narrow = placed(base.select("doc_id", *{f"`{source}`"}, "mix_tokens"))
+    narrow = placed(base.select("doc_id", f"`{source}`", "mix_tokens"))
     blocks = store(narrow.groupBy("_source", "mix_block").agg(
         F.sum("mix_tokens").alias("_held"), F.first("_tokens").alias("_tokens"), F.first("_budget").alias("_budget"))
-        .withColumn("_own", F.floor(F.col("_budget") * (F.col("_held") / F.col("_tokens"))).cast("long"))
-        .select("_source", "mix_block", F.when(F.col("_held") > 0, F.expr("_own div _held")).otherwise(1).alias("_whole"),
-                F.when(F.col("_held") > 0, F.expr("_own % _held")).otherwise(0).alias("_rest"))).df
-    from pyspark.sql import Window
-
+        .withColumn("_own", F.floor(F.col("_budget") * F.coalesce(F.try_divide("_held", "_tokens"), F.lit(0.0))).cast("long"))
+        .select("_source", "mix_block", F.when(F.col("_held") > 0, F.floor(F.try_divide("_own", "_held"))).otherwise(1).alias("_whole"),
+                F.when(F.col("_held") > 0, F.expr("try_mod(_own, _held)")).otherwise(0).alias("_rest"))).df
     rows = narrow.join(blocks, ["_source", "mix_block"]).withColumn("_key", _key(seed, F.col("_whole")))
     upto = F.sum("mix_tokens").over(Window.partitionBy("_source", "mix_block").orderBy("_key").rangeBetween(
         Window.unboundedPreceding, Window.currentRow))
