@@ -85,10 +85,11 @@ def ip_nodes(registry: DataFrame) -> DataFrame:
 def flows_to_edges(flows: DataFrame, registry: DataFrame, id_start: int = 0, typed: bool = False) -> DataFrame:
     """Flow rows as edges between address nodes; ids follow the flow key.
 
+    A flow whose address is unknown (null, or not in the registry) is an edge whose end is null.
     The properties are an open map of the known values, or a struct with ``typed``.
     """
     ends = lambda ip, node: registry.select(F.col("ip").alias(ip), F.col("node_id").alias(node))
-    linked = flows.join(ends("src_ip", "src"), "src_ip").join(ends("dst_ip", "dst"), "dst_ip")
+    linked = flows.join(ends("src_ip", "src"), "src_ip", "left").join(ends("dst_ip", "dst"), "dst_ip", "left")
     order = [c for c in ("chunk_id",) if c in flows.columns] + ["src_ip", "dst_ip", "protocol", "service_port"]
     names = ["service_port", "service_name", "flow_count", "total_bytes"]
     if typed:

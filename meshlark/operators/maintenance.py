@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meshlark.graph import GraphError, PropertyGraph
 from meshlark.plans.ordered import dense_ids
@@ -40,21 +41,39 @@ def merged(old: Column, new: Column) -> Column:
     return F.when(new.isNull(), old).otherwise(both)
 
 
-def _merge(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Several updates of one id are a mistake: their order is not defined."""
-    changes = updates.select(key, F.col("properties").alias("_new"))
-    return (table.join(changes, key, "left")
-            .withColumn("properties", merged(F.col("properties"), F.col("_new"))).select(*table.columns))
-
-
-def merge_node_properties(graph: PropertyGraph, updates: DataFrame) -> PropertyGraph:
-    """``updates(node_id, properties)``, one row per id. Unknown ids change nothing."""
-    return graph.with_nodes(_merge(graph.nodes, updates, "node_id"))
-
-
-def merge_edge_properties(graph: PropertyGraph, updates: DataFrame) -> PropertyGraph:
-    """``updates(edge_id, properties)``, one row per id. Weight and window stay as they are."""
-    return graph.with_edges(_merge(graph.edges, updates, "edge_id"))
+def _merge(table: DataFrame, updates: DataFrame, key: str, order: str | None) -> DataFrame:
+    """Apply the updates of an id in ``order``, so that the last one that names a property sets it.
+
+    The updates become one row per (id, property) before they meet the table. Without ``order`` two updates that
+    give one property of one id different values are refused.
+    """
+    entries = updates.select(key, (F.col(order) if order else F.lit(0)).alias("_at"), F.explode("properties").alias("_name", "_value"))
+    if order is None:
+        clash = (entries.groupBy(key, "_name").agg(F.min(F.struct("_value")).alias("a"), F.max(F.struct("_value")).alias("b"))
+                 .where("NOT (a <=> b)").limit(1).collect())
+        if clash:
+            raise GraphError(f"updates of {key} {clash[0][0]} disagree on {clash[0][1]}; name an order column")
+    last = entries.groupBy(key, "_name").agg(F.max(F.struct("_at", "_value")).alias("_last"))
+    changes = last.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_name", "_last._value"))).alias("_new"))
+    old = table.schema["properties"].dataType
+    if isinstance(old, T.StructType):
+        values = [F.when(F.array_contains(F.map_keys("_new"), f.name), F.col("_new")[f.name].cast(f.dataType))
+                  .otherwise(F.col("properties")[f.name]).alias(f.name) for f in old]
+        now = F.when(F.col("_new").isNull(), F.col("properties")).otherwise(F.struct(*values))
+    else:
+        now = merged(F.col("properties"), F.col("_new"))
+    return table.join(changes, key, "left").withColumn("properties", now).select(*table.columns)
+
+
+def merge_node_properties(graph: PropertyGraph, updates: DataFrame, order: str | None = None) -> PropertyGraph:
+    """``updates(node_id, properties)``, applied in the order of column ``order``. Unknown ids change nothing. Typed
+    properties take the fields they have; other names change nothing."""
+    return graph.with_nodes(_merge(graph.nodes, updates, "node_id", order))
+
+
+def merge_edge_properties(graph: PropertyGraph, updates: DataFrame, order: str | None = None) -> PropertyGraph:
+    """``updates(edge_id, properties)``, as for nodes. Weight and window stay as they are."""
+    return graph.with_edges(_merge(graph.edges, updates, "edge_id", order))
 
 
 def delete_nodes(graph: PropertyGraph, ids: DataFrame) -> tuple[PropertyGraph, DataFrame]:

@@ -14,6 +14,8 @@ from meshlark.plans.lineage import forget, store
 from meshlark.plans.skew import laid_out
 
 c = F.col
+#: Relative difference of path lengths below which they count as equal.
+TIE = 1e-12
 
 
 def _ends(edges: DataFrame, *keep: str) -> DataFrame:
@@ -77,18 +79,20 @@ def strength(edges: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, vertices: DataFrame, damping: float = 0.85, tol: float = 1e-9,
-             max_rounds: int = 100) -> DataFrame:
-    """``id, pagerank`` (sums to 1) on directed weighted edges.
+             max_rounds: int | None = None) -> DataFrame:
+    """``id, pagerank`` (sums to 1) on directed weighted edges; edges without a weight above 0 do not count.
 
     Every round spreads the newest mass ``fresh`` over the out-links; ``settled`` collects it. Mass at a vertex
     without out-links is lost on the way and the final scaling restores it, which equals spreading it evenly,
-    so no round needs a global sum before it can start. Stops when a round changes less than ``tol`` in all.
+    so no round needs a global sum before it can start. Stops when a round changes less than ``tol`` in all, which
+    it must, since what moves shrinks by ``damping`` or more each round; ``max_rounds`` raises if that takes longer.
     Large links are bucketed once, hot sources in slices; only the mass table moves.
     """
     if not 0.0 < damping < 1.0:
         raise GraphError("damping must lie between 0 and 1")
-    out = edges.groupBy("src").agg(F.sum("weight").alias("_out"))
-    flow = store(edges.where("weight > 0").join(out, "src").select(
+    links = edges.where("weight > 0")
+    out = links.groupBy("src").agg(F.sum("weight").alias("_out"))
+    flow = store(links.join(out, "src").select(
         "src", "dst", (c("weight") / c("_out") * damping).alias("share")))
     arrows = laid_out(flow.df, flow.rows, "src", "dst")
     n = vertices.select("id").distinct().count()
@@ -96,7 +100,11 @@ def pagerank(edges: DataFrame, vertices: DataFrame, damping: float = 0.85, tol:
         return vertices.select("id", F.lit(None).cast("double").alias("pagerank"))
     state = store(vertices.select("id").distinct().select(
         "id", F.lit(0.0).alias("settled"), F.lit(1.0 / n).alias("fresh")))
-    for _ in range(max_rounds):
+    rounds = 0
+    while True:
+        if rounds == max_rounds:
+            raise GraphError(f"PageRank has not converged to {tol} in {max_rounds} rounds")
+        rounds += 1
         mass = state.df.where("fresh > 0").select(c("id").alias("src"), "fresh")
         sent = (arrows.joined(mass, "src").groupBy(c("dst").alias("id"))
                 .agg(F.sum(c("fresh") * c("share")).alias("got")))
@@ -120,7 +128,8 @@ def pagerank(edges: DataFrame, vertices: DataFrame, damping: float = 0.85, tol:
 
 def betweenness(edges: DataFrame, vertices: DataFrame, normalized: bool = True,
                 pivots: DataFrame | None = None) -> DataFrame:
-    """``id, betweenness`` on directed edges; weights are lengths and must be above 0.
+    """``id, betweenness`` on directed edges; weights are lengths and must be above 0. Lengths that differ by less
+    than ``TIE``, relatively, are equal.
 
     Exact: state per (source, vertex). Path counts run forward and dependencies backward over the links that
     lie on a shortest path, one round per hop. ``pivots(id)`` restricts the sources for an estimate, scaled up
@@ -135,7 +144,8 @@ def betweenness(edges: DataFrame, vertices: DataFrame, normalized: bool = True,
     cost = relax(links, sources.withColumnRenamed("id", "origin"), hops=False)
     ahead = cost.select("origin", c("node_id").alias("dst"), c("cost").alias("cost_dst"))
     on_path = store(links.step(cost).join(ahead, ["origin", "dst"])
-                    .where(c("cost") + c("weight") == c("cost_dst")).select("origin", "node_id", "dst")).df
+                    .where(F.abs(c("cost") + c("weight") - c("cost_dst")) <= TIE * c("cost_dst"))
+                    .select("origin", "node_id", "dst")).df
     first = store(sources.select(c("id").alias("origin"), c("id").alias("node_id"), F.lit(1.0).alias("paths")))
     counts = _spread(on_path, first.df, "paths", forward=True)
     paths = store(counts.unionByName(first.df).groupBy("origin", "node_id").agg(F.sum("paths").alias("paths"))).df
@@ -176,11 +186,12 @@ def _spread(links: DataFrame, start: DataFrame, value: str, forward: bool) -> Da
     return whole.groupBy("origin", "node_id").agg(F.sum(value).alias(value))
 
 
-def centralities(edges: DataFrame, vertices: DataFrame, n: int = 20) -> DataFrame:
-    """The top ``n`` by PageRank with degrees, strength and betweenness of the simplified network."""
+def centralities(edges: DataFrame, vertices: DataFrame, n: int = 20, pivots: DataFrame | None = None) -> DataFrame:
+    """The top ``n`` by PageRank with degrees, strength and betweenness of the simplified network; ``pivots`` as for
+    ``betweenness``."""
     simple = store(simplify(edges)).df
     rank = pagerank(simple, vertices).select("id", F.round("pagerank", 6).alias("pagerank"))
-    between = betweenness(simple, vertices).select("id", F.round("betweenness", 6).alias("betweenness"))
+    between = betweenness(simple, vertices, pivots=pivots).select("id", F.round("betweenness", 6).alias("betweenness"))
     degree = degrees(simple, vertices).select(
         "id", c("degree_total").alias("degree"), c("degree_in").alias("in_degree"), c("degree_out").alias("out_degree"))
     return (degree.join(strength(simple, vertices), "id").join(between, "id").join(rank, "id")

@@ -26,7 +26,6 @@ from meshlark.plans.topk import top_k
 
 QUERY_BLOCK_BYTES = 32 << 20
 CELL_BYTES = 64 << 20
-MAX_CELLS = 4096
 COMPARE_DECIMALS = 12
 HITS = "query_id long, node_id long, similarity double"
 
@@ -195,7 +194,7 @@ class VectorIndex:
 
 def build_vector_index(graph: PropertyGraph, size: int, cells: int = 16, path: str | None = None,
                        seed: int = 7) -> VectorIndex:
-    """Cluster the unit vectors with k-means and write them by cell. At most ``MAX_CELLS`` centroids."""
+    """Cluster the unit vectors with k-means and write them by cell. The centroids are sent to all tasks."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -205,7 +204,7 @@ def build_vector_index(graph: PropertyGraph, size: int, cells: int = 16, path: s
     unit = unit.withColumn("_length", length).where("_length > 0").select(
         "node_id", F.transform("embedding", lambda x: x / F.col("_length")).alias("embedding"))
     points = store(unit).df
-    model = KMeans(k=min(cells, MAX_CELLS), seed=seed, maxIter=8, initMode="random").fit(
+    model = KMeans(k=cells, seed=seed, maxIter=8, initMode="random").fit(
         points.select(array_to_vector("embedding").alias("features")))
     centers = np.array(model.clusterCenters())
     centers = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
@@ -245,7 +244,7 @@ def approx_search(index: VectorIndex, queries: DataFrame, k: int = 10, probes: i
                     names=["query_id", "vector", "cell"])
 
     probed = store(wanted.mapInArrow(probe, "query_id long, vector array<double>, cell int")).df
-    # At most MAX_CELLS numbers: they prune the folders before any file is opened.
+    # At most as many numbers as the index has cells: they prune the folders before any file is opened.
     cells = [row.cell for row in probed.select("cell").distinct().collect()]
     nodes = index.nodes(spark).where(F.col("cell").isin(cells)).select("node_id", "embedding", "cell")
     size = _bytes(probed, "vector")

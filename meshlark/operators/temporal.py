@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from meshlark.graph import GraphError, PropertyGraph
 
-MAX_SWEEP_BUCKETS = 1000
-
 
 def visible(timestamp: Column, closed: str = "both") -> Column:
     """Whether an edge's window holds ``timestamp``. NULL ends are open; both ends count by default."""
@@ -40,7 +38,7 @@ def edges_over(edges: DataFrame, timestamps: DataFrame, closed: str = "both") ->
     low, high, n = points.agg(F.min("timestamp"), F.max("timestamp"), F.count(F.lit(1))).first()
     if not n:
         return edges.select(F.lit(None).cast("long").alias("timestamp"), "*").where(F.lit(False))
-    width = (high - low) // min(n, MAX_SWEEP_BUCKETS) + 1
+    width = (high - low) // n + 1
 
     def bucket(moment: Column) -> Column:
         return F.floor((moment - low) / width).cast("int")
