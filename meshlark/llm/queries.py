@@ -29,7 +29,7 @@ ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrst
 WITH RECURSIVE texts AS (SELECT coalesce(text, '') AS text, min(doc_id) AS first_id, count(*) AS n_copies
   FROM documents GROUP BY 1),
 words AS (SELECT first_id, list_filter(string_split_regex({ASCII_LOWER.format('text')}, '[\\x09-\\x0D ]+'),
-  x -> x <> '') AS w FROM texts),
+  lambda x: x <> '') AS w FROM texts),
 shingles AS (SELECT DISTINCT first_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT first_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
 sizes AS (SELECT first_id, count(*) AS n FROM shingles GROUP BY 1),
