@@ -37,7 +37,7 @@ def with_codes(df: DataFrame, text: str, into: str, width: int = WIDTH) -> DataF
     Words are runs without ASCII white space, A-Z in lower case; shingles are ``width`` words, or all words of a
     shorter text. Each step is a column of its own, so that Spark evaluates it once.
     """
-    w, h, f, m = (f"_{into}_{x}" for x in "whfm")
+    w, h, f = (f"_{into}_{x}" for x in "whf")
     words = F.filter(F.split(F.translate(F.col(text), _UPPER, _LOWER), r"[\x09-\x0D ]+"), lambda x: x != "")
     df = df.withColumn(w, F.transform(words, lambda x: F.xxhash64(x)))
     several = F.transform(F.sequence(F.lit(0), F.size(w) - width),
@@ -49,11 +49,15 @@ def with_codes(df: DataFrame, text: str, into: str, width: int = WIDTH) -> DataF
     least = F.filter(F.col(h), lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(F.col(h), i - 1))))
     df = df.withColumn(f, least).drop(h)
     low = lambda x: x.bitwiseAND((1 << VALUE_BITS) - 1)
-    own = F.map_from_arrays(F.transform(f, _bin), F.transform(f, low))
-    df = df.withColumn(m, own)
-    d = f"_{into}_d"
-    bins = F.sequence(F.lit(0), F.lit(BINS - 1))
-    df = df.withColumn(d, F.transform(bins, lambda b: F.element_at(F.col(m), b.cast("long")).cast("smallint"))).drop(m)
+    # Nulls fill the gaps between filled bins. Hashes are signed, so the upper half of the bins comes first.
+    r, d, half = f"_{into}_r", f"_{into}_d", BINS // 2
+    place = lambda x: F.shiftright(x, 64 - BIN_BITS) + half
+    none = lambda n: F.array_repeat(F.lit(None).cast("smallint"), n.cast("int"))
+    runs = F.transform(f, lambda x, i: F.concat(
+        none(place(x) - F.when(i > 0, place(F.get(F.col(f), i - 1))).otherwise(-1) - 1), F.array(low(x).cast("smallint"))))
+    rest = none(BINS - 1 - F.coalesce(place(F.get(F.col(f), F.size(f) - 1)), F.lit(-1)))
+    df = df.withColumn(r, F.concat(F.flatten(runs), rest))
+    df = df.withColumn(d, F.concat(F.slice(r, half + 1, half), F.slice(r, 1, half))).drop(r)
 
     def value(x: Column, b: Column) -> Column:
         # The first filled bin in the order of bin b: some places are looked up, the rest follow by hash.
