@@ -9,37 +9,44 @@ the one unknown token.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshlark.llm import common
-from meshlark.plans.lineage import store
+from meshlark.plans.lineage import forget, store
 
 DEPTH = 3
-#: Numbers of the most frequent tokens come first; then one number for all other tokens, and one for the end.
-ALPHABET = 65_534
+#: Numbers in ``SuffixTree`` of all tokens without a number of their own, and of the end.
 OTHER, END = 65_534, 65_535
-#: A state must hold this share of all tokens, and a token after a state that share, so that a level of the tree has
-#: at most the reciprocals of states and of tokens after states.
-STATE_SHARE, PAIR_SHARE = 1e-5, 1e-6
 #: Bits that a state must save over its suffix to be kept.
 LEAST_GAIN = 16.0
-#: The most frequent tokens, sent to all tasks; the counts of all others are joined.
-HEAD = 200_000
-#: Distinct tokens that a counting task holds before it passes them on.
-HELD = 200_000
+#: The end of a text among hashed tokens.
+HASHED_END = common.mixed(np.array([0x656E64], np.uint64))[0]
+#: A gram must occur so often in training to be a state or a token after a state, whatever the size of the input.
+LEAST_COUNT = 2
+#: Bits of the filter that keeps most strings without a row in a table from being shuffled; what it lets through is
+#: joined, so it saves work only.
+FILTER_BITS = 28
+#: The most frequent strings with a value, sent to all tasks; the values of all others are joined.
+HEAD = 1_000_000
+#: Strings that a counting task holds before it passes their counts on.
+HELD = 3_000_000
+#: Strings that a counting task gets, about: their hashes are dealt to a number of parts that grows with the input.
+PART = 500_000
+_NEXT, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @dataclass
 class SuffixTree:
-    """Per depth: sorted states with the log weight of their suffix's distribution, and sorted (state, next) pairs
+    """The tree of a small alphabet in memory, by the rules that ``score_texts`` follows in tables.
+
+    Per depth: sorted states with the log weight of their suffix's distribution, and sorted (state, next) pairs
     with log probabilities; ``root`` has the log probabilities without a state."""
 
     root: np.ndarray
@@ -114,131 +121,264 @@ def strings(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return state, depth
 
 
+def _grams(data: np.ndarray, offsets: np.ndarray, longest: int = DEPTH + 1) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """64-bit hashes of the strings of 1, 2, ... ``longest`` tokens that end at each token, the end of a text being
+    its last; the number of tokens before it in its text; and where texts start. A string is there only if it has that
+    many tokens in the text."""
+    hashes, before = common.words(data, offsets)
+    counts = np.diff(before)
+    ids = np.full(len(hashes) + len(counts), HASHED_END)
+    ids[np.arange(len(hashes)) + np.repeat(np.arange(len(counts)), counts)] = hashes
+    starts = np.cumsum(counts + 1) - (counts + 1)
+    levels = [ids]
+    for k in range(2, longest + 1):
+        longer = np.zeros_like(ids)
+        longer[1:] = common.mixed(levels[-1][:-1] * _NEXT + ids[1:] * _LAST + np.uint64(k))
+        levels.append(longer)
+    return levels, np.arange(len(ids)) - np.repeat(starts, counts + 1), starts
+
+
+def _may_hold(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    at = grams >> np.uint64(64 - FILTER_BITS)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _filter(grams: DataFrame, bits: int) -> np.ndarray:
+    """Bits that are set for all of ``grams`` (column ``gram``); the driver gets them in ``2 ** bits`` parts."""
+    size = 1 << (FILTER_BITS - bits)
+
+    def kernel(table: pa.Table) -> pa.Table:
+        held = np.zeros(size, np.uint8)
+        gram = table["gram"].to_numpy().view(np.uint64)
+        held[(gram >> np.uint64(64 - FILTER_BITS)) & np.uint64(size - 1)] = 1
+        return pa.table({"part": table["part"][:1], "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+    number = F.shiftrightunsigned("gram", 64 - bits).alias("part")
+    return _assembled(grams.select(number, "gram").groupBy("part").applyInArrow(kernel, "part long, bits binary").toArrow(), size)
+
+
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens with their counts in training texts; 0 for those of other texts."""
-    seen: Counter = Counter()
+    held, size = [], 0
 
     def out():
-        made = pa.RecordBatch.from_arrays(
-            [pa.array(list(seen.keys()), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
-        seen.clear()
-        return made
+        gram, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
 
     for batch in batches:
-        texts, train = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for text, taught in zip(texts, train):
-            found = text.encode().lower().split()
-            if taught:
-                seen.update(found)
-            else:
-                for token in found:
-                    seen.setdefault(token, 0)
-            if len(seen) > HELD:
+        data, offsets = common.utf8(batch.column(0))
+        for start, stop in common.slices(offsets):
+            held.append(_grams(data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start], 1)[0][0])
+            size += len(held[-1])
+            if size > HELD:
                 yield out()
-    yield out()
+                size = 0
+    if held:
+        yield out()
 
 
-def _encode(head, total: int, distinct: int, ends: int, root_other: float):
-    """Per text a row with its numbered tokens and sums over known ones, and a row for each token not in ``head``."""
-    floor = np.log10(total + distinct + 1)
+def _dealt(k: int, bits: int, shorter, own):
+    """Strings of ``k`` tokens in parts by the first ``bits`` bits of their hashes, each part packed into one value.
 
+    Without ``own`` the hashes and the counts up to 2, of strings that may not be too rare by what ``shorter`` tells
+    of them without the first or the last token. With ``own``, of strings that this filter lets through: hashes,
+    hashes without the last and the first token, and counts.
+    """
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts, log_p = head.value
-        number = {t: i for i, t in enumerate(tokens)}
-        base, known = np.log10(counts + 1) - floor, counts > 0
-        row = TaskContext.get().partitionId() << 40
-        names = [f.split()[0] for f in _PARTS.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(),
-                 pa.string(), pa.int64()]
+        held, size = [], 0
+
+        def out():
+            columns = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
+            if own is None:
+                gram, n = np.unique(columns[0], return_counts=True)
+                columns = [gram, np.minimum(n, 2).astype(np.uint8)]
+            else:
+                gram, first, n = np.unique(columns[0], return_index=True, return_counts=True)
+                columns = [gram, *[c[first] for c in columns[1:]], n.astype(np.uint32)]
+            edges = np.append(np.searchsorted(gram, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(gram))
+            parts = np.flatnonzero(np.diff(edges))
+            packed = [b"".join(c[edges[p]:edges[p + 1]].tobytes() for c in columns) for p in parts]
+            return pa.RecordBatch.from_arrays([pa.array(parts), pa.array(packed, pa.binary())], ["part", "packed"])
+
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                columns = tuple([] for _ in names)
-                for doc, text, held in zip(*[c.to_pylist() for c in batch.slice(begin, 500).columns]):
-                    row += 1
-                    found = text.encode().lower().split()
-                    at = np.array([number.get(t, HEAD) for t in found], np.int64)
-                    own = at[at < HEAD]
-                    coded = np.append(np.where((at < ALPHABET) & (at < HEAD), at, OTHER), END).astype("<u2")
-                    named = own[own >= ALPHABET]
-                    line = (row, doc, held, len(found) + 1, int(known[own].sum()) + (ends > 0),
-                            float(base[own].sum() + np.log10(ends + 1) - floor),
-                            float((log_p[named] - root_other).sum()), coded.tobytes(), None, None)
-                    for column, value in zip(columns, line):
-                        column.append(value)
-                    for token, n in Counter([found[i] for i in np.flatnonzero(at == HEAD)]).items():
-                        for column, value in zip(columns, (row, None, None, 0, 0, 0.0, 0.0, None, token.decode(), n)):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            data, offsets = common.utf8(batch.column(0))
+            for start, stop in common.slices(offsets):
+                levels, place, _ = _grams(data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start], k)
+                at = np.flatnonzero(place >= k - 1)
+                if own is None:
+                    at = at[_may_hold(shorter.value, levels[k - 2][at])]
+                    at = at[_may_hold(shorter.value, levels[k - 2][at - 1])]
+                    held.append((levels[k - 1][at],))
+                else:
+                    at = at[_may_hold(own.value, levels[k - 1][at])]
+                    held.append((levels[k - 1][at], levels[k - 2][at - 1], levels[k - 2][at]))
+                size += len(at)
+                if size > HELD:
+                    yield out()
+                    size = 0
+        if size:
+            yield out()
 
     return kernel
 
 
-_PARTS = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, extra double, "
-          "coded binary, token string, n long")
+def _unpacked(table: pa.Table, *kinds: str) -> list[np.ndarray]:
+    width = sum(np.dtype(k).itemsize for k in kinds)
+    columns: list[list[np.ndarray]] = [[] for _ in kinds]
+    for raw in table["packed"].to_pylist():
+        at, n = 0, len(raw) // width
+        for column, kind in zip(columns, kinds):
+            column.append(np.frombuffer(raw, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+    return [np.concatenate(c) for c in columns]
 
 
-def _sequences(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, tokens and text starts, some texts at a time."""
-    for begin in range(0, len(column), 1000):
-        raw = column.slice(begin, 1000).to_pylist()
-        sizes = np.array([len(r) // 2 for r in raw])
-        yield begin, np.frombuffer(b"".join(raw), "<u2").astype(np.uint64), np.cumsum(sizes) - sizes
+def _frequent(taught: DataFrame, k: int, bits: int, shorter, least_count: int) -> np.ndarray:
+    """Filter of the strings of ``k`` tokens that occur twice or more (once, if ``least_count`` is 1)."""
+    least, size = min(least_count, 2), 1 << (FILTER_BITS - bits)
 
+    def kernel(table: pa.Table) -> pa.Table:
+        gram, n = _unpacked(table, "<u8", "u1")
+        order = np.argsort(gram)
+        gram, n = gram[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        held = np.zeros(size, np.uint8)
+        held[(gram[first][np.add.reduceat(n, first) >= least] >> np.uint64(64 - FILTER_BITS)) & np.uint64(size - 1)] = 1
+        return pa.table({"part": table["part"][:1], "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
 
-def _count_after(states: np.ndarray, depth: int, counted: np.ndarray):
-    """Counts of the tokens after each of ``states``, packed, as far as ``counted`` allows the token."""
+    parts = taught.mapInArrow(_dealt(k, bits, shorter, None), "part long, packed binary")
+    return _assembled(parts.groupBy("part").applyInArrow(kernel, "part long, bits binary").toArrow(), size)
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = []
-            for _, ids, starts in _sequences(batch.column(0)):
-                state, deep = strings(ids, starts)
-                at = np.flatnonzero((deep >= depth) & counted[ids.astype(np.int64)])
-                own = suffix(state[at], depth)
-                where = np.minimum(np.searchsorted(states, own), len(states) - 1)
-                hit = states[where] == own
-                packed.append(own[hit] << np.uint64(16) | ids[at[hit]])
-            code, n = np.unique(np.concatenate(packed), return_counts=True) if packed else (np.zeros(0, np.uint64), np.zeros(0, int))
-            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n.astype(np.int64))], ["packed", "n"])
 
-    return kernel
+def _pairs(taught: DataFrame, k: int, bits: int, own, least_count: int) -> DataFrame:
+    """``gram, prefix, suffix, n`` of the strings of ``k`` tokens that occur ``least_count`` times."""
+    def kernel(table: pa.Table) -> pa.Table:
+        gram, prefix, suffix, n = _unpacked(table, "<u8", "<u8", "<u8", "<u4")
+        order = np.argsort(gram)
+        gram, n = gram[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        total = np.add.reduceat(n, first)
+        kept = total >= least_count
+        at = order[first[kept]]
+        columns = gram[first[kept]], prefix[at], suffix[at]
+        return pa.table({**{c: v.view(np.int64) for c, v in zip(("gram", "prefix", "suffix"), columns)}, "n": total[kept]})
+
+    parts = taught.mapInArrow(_dealt(k, bits, None, own), "part long, packed binary")
+    return parts.groupBy("part").applyInArrow(kernel, "gram long, prefix long, suffix long, n long")
+
+
+def _assembled(made: pa.Table, size: int) -> np.ndarray:
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    size //= 64
+    for k, bits in zip(made["part"].to_pylist(), made["bits"].to_pylist()):
+        out[k * size:(k + 1) * size] = np.frombuffer(bits, "<u8")
+    return out
+
+
+def _release(spark) -> None:
+    """Let Spark find out that the shuffles of stored tables are not needed any more, and delete their files."""
+    spark._jvm.System.gc()
+
 
+_PARTS = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
+          "gram long")
+
+
+def _score(head, seen, floor: float, unknown: float):
+    """Per text a row with the sums over the strings in ``head``, and a row for each other string that may have a value."""
 
-def _score(tree):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, score, base = head.value
+        row = TaskContext.get().partitionId() << 40
+        names = [f.split()[0] for f in _PARTS.split(", ")]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for begin, ids, starts in _sequences(batch.column(batch.schema.get_field_index("coded"))):
-                state, depth = strings(ids, starts)
-                sums = np.add.reduceat(tree.value.log_probability(state, depth, ids), starts)
-                out[begin:begin + len(starts)] = sums
-            kept = [i for i, name in enumerate(batch.schema.names) if name != "coded"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in kept], pa.array(out / np.log(10))],
-                [*[batch.schema.names[i] for i in kept], "score"])
+            data, offsets = common.utf8(batch.column(1))
+            for start, stop in common.slices(offsets):
+                levels, place, starts = _grams(data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start])
+                texts = stop - start
+                sizes = np.diff(np.append(starts, len(place)))
+                owner = np.repeat(np.arange(texts), sizes)
+                known, plain, own = np.zeros(texts, np.int64), -floor * sizes, unknown * sizes
+                rest = []
+                for k, level in enumerate(levels):
+                    at = np.flatnonzero((place >= k) & _may_hold(seen.value, level))
+                    gram = level[at]
+                    where = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
+                    hit = grams[where] == gram if len(grams) else np.zeros(len(gram), bool)
+                    where, text = where[hit], owner[at[hit]]
+                    own += np.bincount(text, score[where], texts)
+                    if k == 0:
+                        plain += np.bincount(text, base[where], texts)
+                        known += np.bincount(text, minlength=texts)
+                    rest.append((owner[at[~hit]], gram[~hit]))
+                lines = pa.array(np.arange(row, row + texts))
+                part = batch.slice(start, texts)
+                yield pa.RecordBatch.from_arrays(
+                    [lines, part.column(0), part.column(2), pa.array(sizes.astype(np.int64)), pa.array(known),
+                     pa.array(plain), pa.array(own), pa.nulls(texts, pa.int64())], names)
+                text, gram = (np.concatenate(x) for x in zip(*rest))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + text), *[pa.nulls(len(gram), kind) for kind in kinds[1:7]], pa.array(gram.view(np.int64))], names)
+                row += texts
 
     return kernel
 
 
-def _head(tokens: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """The most frequent tokens, most frequent first: all with a count above that at which ``HEAD`` would be exceeded.
+def _head(values: DataFrame) -> tuple[Column, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The ``HEAD`` most frequent strings (about) with their values, sorted, and the condition that a row is of them.
 
-    The number of tokens per count says where that is, so no task sorts or sends more than it holds of them.
+    The number of strings per count says at which count the head ends; of the strings with that count a share is
+    taken by their hashes, so no task sorts or sends more than it holds of them.
     """
-    sizes = tokens.where("n > 0").groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).toArrow()
-    n, many = sizes["n"].to_numpy(), sizes["tokens"].to_numpy()
+    sizes = values.groupBy("n").agg(F.count(F.lit(1)).alias("grams")).toArrow()
+    n, many = sizes["n"].to_numpy(), sizes["grams"].to_numpy()
     order = np.argsort(-n)
-    fits = np.flatnonzero(np.cumsum(many[order]) <= HEAD)
-    if not len(fits):
-        return [], np.zeros(0, np.int64)
-    top = tokens.where(F.col("n") >= int(n[order][fits[-1]])).toArrow()
-    names, counts = [t.encode() for t in top["token"].to_pylist()], top["n"].to_numpy()
-    order = sorted(range(len(names)), key=lambda i: (-counts[i], names[i]))
-    return [names[i] for i in order], counts[order].astype(np.int64)
-
-
-def score_texts(docs: DataFrame, held_out, state_share: float = STATE_SHARE, pair_share: float = PAIR_SHARE,
-                least_gain: float = LEAST_GAIN) -> DataFrame:
+    n, many = n[order], many[order]
+    whole = int(np.searchsorted(np.cumsum(many), HEAD, "right"))
+    chosen = F.col("n") >= (int(n[whole - 1]) if whole else 1 << 62)
+    if whole < len(n):
+        share = (HEAD - int(many[:whole].sum())) / int(many[whole])
+        chosen |= (F.col("n") == int(n[whole])) & (F.col("gram") < int((share - 0.5) * 2**64 * 0.999))
+    top = values.where(chosen).select("gram", "score", "base").toArrow()
+    gram = top["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(gram)
+    return chosen, (gram[order], top["score"].to_numpy()[order], top["base"].to_numpy()[order])
+
+
+def _level(pairs: DataFrame, shorter: DataFrame, least_gain: float) -> tuple[DataFrame, DataFrame]:
+    """The strings ``pairs`` (a state and a token) with their log probabilities, and the values of the states kept.
+
+    ``shorter`` has the strings of one token less. Both are joined by hash, and every sum over a state is taken by
+    partial aggregation.
+    """
+    parent = shorter.select(F.col("gram").alias("suffix"), F.col("log_p").alias("parent")).hint("merge")
+    found = store(pairs.join(parent, "suffix").drop("suffix"))
+    q = F.exp("parent")
+    every = shorter.select(F.col("gram").alias("prefix"), F.col("n").alias("every"))
+    states = found.df.groupBy("prefix").agg(
+        F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("held"), F.sum(q).alias("sum_q")).join(every.hint("merge"), "prefix")
+    sum_p = (F.col("held") + F.col("kinds") * F.col("sum_q")) / (F.col("every") + F.col("kinds"))
+    rest = F.greatest(1 - sum_p, F.lit(1e-9)) / F.greatest(1 - F.col("sum_q"), F.lit(1e-9))
+    states = store(states.select("prefix", "kinds", "held", "every", rest.alias("rest")))
+    p = (F.col("n") + F.col("kinds") * q) / (F.col("every") + F.col("kinds"))
+    # Two joins: what a state gains must be known before any of its pairs is.
+    gains = found.df.join(states.df.select("prefix", "kinds", "every").hint("merge"), "prefix").select(
+        "prefix", (F.col("n") * F.log2(p / q)).alias("gain"))
+    gains = store(gains.groupBy("prefix").agg(F.sum("gain").alias("gain")))
+    more = F.col("gain") + (F.col("every") - F.col("held")) * F.log2("rest")
+    kept = store(states.df.join(gains.df.hint("merge"), "prefix").where(more >= least_gain)
+                 .select("prefix", "kinds", "every", F.log("rest").alias("fallback")))
+    level = found.df.join(kept.df.hint("merge"), "prefix", "left")
+    level = store(level.select("gram", "n", F.coalesce(F.log(p), F.col("parent")).alias("log_p"),
+                               (F.log(p) - F.col("parent") - F.col("fallback")).alias("value")))
+    for old in (found, states, gains):
+        forget(old)
+    return level.df, kept.df.select(F.col("prefix").alias("gram"), F.col("every").alias("n"), F.col("fallback").alias("value"))
+
+
+def score_texts(docs: DataFrame, held_out, least_gain: float = LEAST_GAIN, least_count: int = LEAST_COUNT) -> DataFrame:
     """One row per row of ``docs`` (columns ``doc_id``, ``text``): ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score``.
 
@@ -248,69 +388,67 @@ def score_texts(docs: DataFrame, held_out, state_share: float = STATE_SHARE, pai
     one. Null text is empty: one token. Repeated rows are learned from and scored each. Without any training row the
     end and the unknown token are equally likely.
 
-    Tokens are counted over all rows with partial counts per task; the texts of the most frequent ones are written
-    once as numbers, and each level of the tree is one pass over these. What is sent to all tasks is bounded: the
-    ``HEAD`` most frequent tokens, and levels of at most ``1 / state_share`` states and ``1 / pair_share`` pairs.
-    Tokens outside the head are joined with their counts.
+    A state, and a token after a state, must occur ``least_count`` times, whatever the size of the input; every token
+    of training counts as itself. The tree is a table per level, of strings by their 64-bit hashes, joined with the
+    table of the level before. A log probability is a sum over the strings that end at the token: the unigram's, what
+    each kept state takes off for tokens it has not seen, and what a token after a state has above that. So texts are
+    scored by one join of their strings with one table. What is sent to all tasks is bounded: the ``HEAD`` most
+    frequent strings, and a filter of ``FILTER_BITS`` bits that only saves shuffling.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"),
                         F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    tokens = store(
-        texts.select("text", ~F.col("held_out")).mapInArrow(_count_tokens, "token string, n long")
-        .groupBy("token").agg(F.sum("n").alias("n")),
-        total=F.sum("n"), distinct=F.count(F.when(F.col("n") > 0, 1)), once=F.count(F.when(F.col("n") == 1, 1)),
-        twice=F.count(F.when(F.col("n") == 2, 1)))
-    ends = texts.where(~F.col("held_out")).count()
-    words = tokens.measures["distinct"]
-    total, distinct = (tokens.measures["total"] or 0) + ends, words + (ends > 0)
+    taught = texts.where(~F.col("held_out")).select("text")
+
+    is_end = F.col("gram") == int(HASHED_END.view(np.int64))
+    tokens = taught.mapInArrow(_count_tokens, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    tokens = store(tokens, total=F.sum("n"), distinct=F.count(F.lit(1)), ends=F.sum(F.when(is_end, F.col("n"))),
+                   once=F.count(F.when(~is_end & (F.col("n") == 1), 1)),
+                   twice=F.count(F.when(~is_end & (F.col("n") == 2), 1)))
+    total, distinct, ends = (tokens.measures[x] or 0 for x in ("total", "distinct", "ends"))
+    words = distinct - (ends > 0)
     once, twice = tokens.measures["once"], tokens.measures["twice"]
     discount = once / (once + 2 * twice) if twice else 0.5
     # Half of the mass is free where no word was learned.
-    unknown, end = (discount * words / total, ends / total) if words else (0.5, 0.5)
-
-    names, counts = _head(tokens.df)
-    share = np.where(counts > 0, (counts - discount) / max(total, 1), unknown)
-    letters = counts[:ALPHABET]
-    root = np.full(END + 1, unknown)  # numbers without a token are never looked up
-    root[:len(letters)] = share[:ALPHABET]
-    root[OTHER] = max(1 - end - root[:len(letters)][letters > 0].sum(), 1e-12)
-    root[END] = max(end, 1e-300)
-    tree = SuffixTree(np.log(root))
-    other = float(np.log10(root[OTHER]))
-    head = spark.sparkContext.broadcast((names, counts, np.log10(share)))
-    parts = store(texts.mapInArrow(_encode(head, total, distinct, ends, other), _PARTS)).df
-    coded = parts.where("token IS NULL")
-
-    least_state, least_pair = max(2.0, state_share * total), max(2.0, pair_share * total)
-    counted = np.zeros(END + 1, bool)
-    counted[:len(letters)] = letters >= least_pair
-    counted[OTHER] = counted[END] = True
-    totals = {int(i): int(letters[i]) for i in np.flatnonzero(letters >= least_state)}
-    for depth in range(1, DEPTH + 1):
-        states = np.array(sorted(totals), np.uint64)
-        if not len(states):
+    unknown, end = (max(discount * words / total, 1e-12), ends / total) if words else (0.5, 0.5)
+
+    share = F.when(is_end, F.lit(float(end))).otherwise((F.col("n") - F.lit(float(discount))) / F.lit(float(max(total, 1))))
+    level = tokens.df.withColumn("log_p", F.log(share))
+    values = [level.select("gram", "n", (F.col("log_p") - float(np.log(unknown))).alias("value"), F.log10(F.col("n") + 1).alias("base"))]
+    nothing = F.lit(0.0).alias("base")
+    bits = min(max(int(total // PART).bit_length(), 8), 13)
+    seen = spark.sparkContext.broadcast(_filter(level.where(F.col("n") >= least_count), bits))
+    for k in range(2, DEPTH + 2):
+        # Most strings occur once: they are told apart by their hashes alone, before the rest is counted.
+        own = spark.sparkContext.broadcast(_frequent(taught, k, bits, seen, least_count))
+        seen.destroy()
+        _release(spark)
+        seen = own
+        pairs = store(_pairs(taught, k, bits, own, least_count))
+        _release(spark)
+        if not pairs.rows:
             break
-        after = (coded.where(~F.col("held_out")).select("coded")
-                 .mapInArrow(_count_after(states, depth, counted), "packed long, n long")
-                 .groupBy("packed").agg(F.sum("n").alias("n")).where(F.col("n") >= least_pair).toArrow())
-        packed, n = after["packed"].to_numpy().view(np.uint64), after["n"].to_numpy()
-        tree.grow(packed >> np.uint64(16), packed & np.uint64(0xFFFF), n, least_gain, totals)
-        longer = (n >= least_state) & ((packed & np.uint64(0xFFFF)) < OTHER)
-        totals = dict(zip(packed[longer].tolist(), n[longer].tolist()))
-    sent = spark.sparkContext.broadcast(tree)
-    scored = coded.drop("token", "n").mapInArrow(
-        _score(sent), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
-        "extra double, score double").withColumn("score", F.col("score") + F.col("extra")).drop("extra")
-
-    rare = parts.where("token IS NOT NULL").select("row", "token", F.col("n").alias("times"))
-    plain = F.log10(F.col("n") + 1) - F.log10(F.lit(float(total + distinct + 1)))
-    own = F.log10(F.when(F.col("n") > 0, (F.col("n") - discount) / max(total, 1)).otherwise(unknown)) - other
-    rare = rare.join(tokens.df.hint("merge"), "token").select(
+        level, states = _level(pairs.df, level, least_gain)
+        forget(pairs)
+        _release(spark)
+        values += [states.select("gram", "n", "value", nothing), level.where("value IS NOT NULL").select("gram", "n", "value", nothing)]
+    every = values[0]
+    for more in values[1:]:
+        every = every.union(more)
+    every = store(every.groupBy("gram").agg(F.max("n").alias("n"), (F.sum("value") / float(np.log(10))).alias("score"),
+                                            F.sum("base").alias("base"))).df
+    seen.destroy()
+    _release(spark)
+    seen = spark.sparkContext.broadcast(_filter(every, bits))
+    chosen, top = _head(every)
+    floor = float(np.log10(total + distinct + 1))
+    parts = store(texts.mapInArrow(_score(spark.sparkContext.broadcast(top), seen, floor, float(np.log10(unknown))), _PARTS)).df
+
+    rare = parts.where("gram IS NOT NULL").select("row", "gram").join(every.where(~chosen).hint("merge"), "gram").select(
         "row", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"),
-        F.lit(0).cast("long").alias("n_tokens"), F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"),
-        (F.col("times") * plain).alias("base_score"), (F.col("times") * own).alias("score"))
-    sums = scored.unionByName(rare).groupBy("row").agg(
+        F.lit(0).cast("long").alias("n_tokens"), (F.col("base") > 0).cast("long").alias("n_known"),
+        F.col("base").alias("base_score"), "score")
+    sums = parts.where("gram IS NULL").drop("gram").unionByName(rare).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),

@@ -280,6 +280,70 @@ def test_tree_sums_to_one():
     assert depth.tolist() == [0, 1, 2, 0, 1, 0, 1] and int(state[2]) == 5 << 16 | 6
 
 
+def tree_scores(rows):
+    """Brute force: the score of each (id, text, held) by a suffix tree in dictionaries, states and pairs seen twice."""
+    def tokens(text):
+        return [*(text or "").encode().lower().split(), None]
+
+    grams = Counter()
+    for _, text, held in rows:
+        t = tokens(text)
+        if not held:
+            grams.update(tuple(t[i:i + k]) for k in range(1, 5) for i in range(len(t) - k + 1))
+    total, words = sum(n for g, n in grams.items() if len(g) == 1), sum(len(g) == 1 and g != (None,) for g in grams)
+    once, twice = (sum(n == m and len(g) == 1 and g != (None,) for g, n in grams.items()) for m in (1, 2))
+    discount = once / (once + 2 * twice) if twice else 0.5
+    unknown, states = max(discount * words / total, 1e-12), {}
+
+    def p(context, token):
+        while context:
+            if context in states:
+                after, rest = states[context]
+                return after[token] if token in after else rest * p(context[1:], token)
+            context = context[1:]
+        n = grams[(token,)]
+        return n / total if token is None else (n - discount) / total if n else unknown
+
+    for k in range(2, 5):
+        after = {}
+        for g, n in grams.items():
+            if len(g) == k and n >= 2:
+                after.setdefault(g[:-1], {})[g[-1]] = n
+        level = {}
+        for s, next_ in after.items():
+            every, kinds = grams[s], len(next_)
+            parent = {t: p(s[1:], t) for t in next_}
+            own = {t: (n + kinds * parent[t]) / (every + kinds) for t, n in next_.items()}
+            rest = max(1 - sum(own.values()), 1e-9) / max(1 - sum(parent.values()), 1e-9)
+            gain = sum(n * math.log2(own[t] / parent[t]) for t, n in next_.items()) + (every - sum(next_.values())) * math.log2(rest)
+            if gain >= 16:
+                level[s] = own, rest
+        states.update(level)
+    assert any(grams[s] == 2 for s in states)
+    return {i: sum(math.log10(p(tuple(t[max(0, j - 3):j]), t[j])) for j in range(len(t))) for i, text, _ in rows for t in [tokens(text)]}
+
+
+@pytest.mark.parametrize("head", [1_000_000, 1000])
+def test_scores_against_a_brute_force_tree(spark, monkeypatch, head):
+    """More tokens than a fixed share of the corpus or a fixed alphabet lets through: 300,000 tokens, 80,000 kinds."""
+    from meshlark.llm import suffix_tree_lm
+
+    monkeypatch.setattr(suffix_tree_lm, "HEAD", head)
+    rnd = random.Random(11)
+    passages = [[f"w{rnd.randrange(90_000)}" for _ in range(6)] for _ in range(300)]
+    rows = [(-1, None, False), (-2, " ", True), (-3, "never", True), (-4, "never", True)]
+    for i in range(150):
+        words = [f"w{min(rnd.randrange(90_000), rnd.randrange(90_000) if j % 3 else rnd.randrange(200))}" for j in range(2000)]
+        for _ in range(4):
+            words[rnd.randrange(2000):0] = rnd.choice(passages)
+        rows.append((i, " ".join(words), i % 7 == 2))
+    got = suffix_tree_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string, held boolean"), F.col("held")).collect()
+    want = tree_scores(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.score - want[r.doc_id]) < 1e-6 * max(1, abs(want[r.doc_id]))
+
+
 # ---- 6 ------------------------------------------------------------------------------------------------
 
 
