@@ -105,6 +105,18 @@ def test_jaccard_links(docs, block, monkeypatch):
     assert len(kept) == len({w[3] for w in want.values() if w[3] is not None}) + sum(w[3] is None for w in want.values())
 
 
+def test_lone_pairs_at_the_threshold_are_links(spark):
+    """40 of 50 shingles in common: J = 0.8 exactly, and nothing else that would bring the two together."""
+    from meshlark.llm.jaccard_join import jaccard_links
+
+    rows = []
+    for i in range(5000):
+        same = [f"w{i}x{k}" for k in range(44)]
+        rows += [(2 * i + side, " ".join([*same, *(f"v{i}x{side}x{k}" for k in range(5))])) for side in (0, 1)]
+    got = jaccard_links(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and all(r.n_links == 1 and r.class_id == r.doc_id - r.doc_id % 2 for r in got)
+
+
 def test_jaccard_links_of_nothing(empty):
     from meshlark.llm.jaccard_join import jaccard_links, one_of_each
 
