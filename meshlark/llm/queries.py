@@ -191,3 +191,64 @@ def op10_personal_data(spark, d):
     added = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added")
     return find_personal_data(documents(spark, d)).select(
         "doc_id", *[count(k) for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), added)
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, d):
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.token_alignment import align
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(documents(spark, d), *paths, digest=True).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def _vector_codes_sql(parts: int = 16, entries: int = 64, width: int = 4, rounds: int = 2) -> str:
+    """Codebooks as rows (p, e, c: list of components), round by round."""
+    near = """n{r} AS MATERIALIZED (SELECT row, p, x, unnest(best, recursive := true) FROM (SELECT v.row, v.p, v.x,
+      min({{'d': list_sum(list_transform(list_zip(v.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': b.e}}) AS best
+      FROM v JOIN b{r} b USING (p) GROUP BY ALL)),
+"""
+    moved = """b{s} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{r} b LEFT JOIN (SELECT p, e,
+      list(floor(t / n)::BIGINT ORDER BY i) AS c FROM (SELECT p, e, i, sum(x[i])::DOUBLE AS t, count(*) AS n
+        FROM (SELECT *, unnest(range(1, {width} + 1)) AS i FROM n{r}) GROUP BY ALL) GROUP BY ALL) m USING (p, e)),
+"""
+    steps = "".join(near.format(r=r) + moved.format(r=r, s=r + 1, width=width) for r in range(rounds))
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT row, p, x[{width} * p + 1:{width} * p + {width}] AS x FROM (SELECT *, unnest(range({parts})) AS p FROM k)),
+b0 AS MATERIALIZED (SELECT p, row - 1 AS e, x AS c FROM v WHERE row <= {entries}),
+{steps}{near.format(r=rounds)}
+coded AS (SELECT row, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM n{rounds} GROUP BY row),
+named AS (SELECT k.vec_id, k.label, code, error FROM coded JOIN k USING (row))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256 FROM named"""
+
+
+@query("op12_vector_codes", _vector_codes_sql())
+def op12_vector_codes(spark, d):
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.vector_codes import codebooks_digest, encode, fit_codebooks
+
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet")
+    books = fit_codebooks(vectors, parts=16, entries=64, rounds=2, scale=256.0)
+    return encode(vectors, books, scale=256.0).select("vec_id", "code", "error", "label_error",
+                                                      F.lit(codebooks_digest(books)).alias("codebooks_sha256"))
+
+
+#: What is known of hosts and paths without a classifier.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op13_url_filter")
+def op13_url_filter(spark, d):
+    from meshlark.llm.url_filter import apply_rules, fit_url_model, judge_urls
+
+    pages = spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url")
+    model = fit_url_model(apply_rules(pages, URL_RULES))
+    return judge_urls(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "score")

@@ -17,7 +17,7 @@ def test_query_agrees_with_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = Counter(name.split("_")[0] for name in QUERIES if name.startswith("op"))
-    assert numbers == Counter({f"op{n}": 1 for n in range(1, 11)})
+    assert numbers == Counter({f"op{n}": 1 for n in range(1, 14)})
 
 
 def test_pages(spark):
