@@ -70,15 +70,18 @@ def as_edges(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class PropertyGraph:
+    """Nodes and edges; ``adjacency`` may hold the same edges in walking order (``sources.adjacency``)."""
+
     nodes: DataFrame
     edges: DataFrame
+    adjacency: object | None = None
 
     @classmethod
     def of(cls, nodes: DataFrame, edges: DataFrame) -> PropertyGraph:
         return cls(as_nodes(nodes), as_edges(edges))
 
     def with_edges(self, edges: DataFrame) -> PropertyGraph:
-        return replace(self, edges=edges)
+        return replace(self, edges=edges, adjacency=None)
 
     def with_nodes(self, nodes: DataFrame) -> PropertyGraph:
         return replace(self, nodes=nodes)

@@ -13,7 +13,6 @@ from meshlark.graph import BOTH, GraphError, PropertyGraph, check_at_least, chec
 from meshlark.operators.search import vector_search
 from meshlark.operators.traverse import bfs
 from meshlark.plans.lineage import store
-from meshlark.plans.topk import top_k
 
 FORMATS = ("structured", "prose", "triples", "json")
 
@@ -36,8 +35,7 @@ def extract_subgraph(graph: PropertyGraph, centers: DataFrame, hops: int = 2, ma
     """Nodes within an undirected radius, the first ``max_nodes`` by (depth, id), and all edges among them."""
     check_at_least("hops", hops, 1)
     check_at_least("max_nodes", max_nodes, 1)
-    reached = bfs(graph, centers, hops, BOTH).withColumnRenamed("start", "center")
-    kept = store(top_k(reached, ["center"], [F.col("depth"), F.col("node_id")], max_nodes, "_rank").drop("_rank")).df
+    kept = bfs(graph, centers, hops, BOTH, most=max_nodes).withColumnRenamed("start", "center")
     # First keep the edges whose ends are in any subgraph; only those meet the keyed joins.
     inside = kept.select("node_id").distinct()
     edges = (graph.edges.join(inside.withColumnRenamed("node_id", "src"), "src", "left_semi")

@@ -261,3 +261,13 @@ def path_between_top_two(graph: PropertyGraph, ranks: DataFrame) -> DataFrame:
                    F.min_by("id", F.struct("r", -c("id"))).alias("to_node"), F.count(F.lit(1)).alias("n"))
     return shortest_path(graph, ends.where("n = 2").select("from_node", "to_node"))
 
+
+def named_path(paths: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """``paths`` with ``names``: the property ``name`` of the nodes along ``path``, null where a node lacks it."""
+    steps = paths.select("from_node", "to_node", F.posexplode("path").alias("at", "node_id"))
+    labels = nodes.join(steps.select("node_id").distinct(), "node_id", "left_semi").select(
+        "node_id", c("properties")[name].alias("name"))
+    ordered = F.array_sort(F.collect_list(F.struct("at", "name")))
+    named = steps.join(labels, "node_id", "left").groupBy("from_node", "to_node").agg(
+        F.transform(ordered, lambda x: x["name"]).alias("names"))
+    return paths.join(named, ["from_node", "to_node"], "left")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from meshlark.functions import vectors
 from meshlark.graph import OUTGOING, PropertyGraph, check_alpha, check_at_least, check_columns
-from meshlark.operators.traverse import bfs, links_of, neighbors
+from meshlark.operators.traverse import bfs, neighbors, scanned_links
 from meshlark.plans.lineage import shared_folder, store
 from meshlark.plans.topk import top_k
 
@@ -338,7 +338,7 @@ def semantic_walk(graph: PropertyGraph, requests: DataFrame, max_hops: int = 3,
     """
     check_at_least("max_hops", max_hops, 1)
     check_columns(requests, "request_id", "start", "concept")
-    links = links_of(graph.edges, direction)
+    links = scanned_links(graph, direction)
     known = graph.nodes.select(F.col("node_id").alias("start"))
     walks = store(requests.join(known, "start", "left_semi").select(
         "request_id", F.col("concept").alias("vector"), F.col("start").alias("node_id"),

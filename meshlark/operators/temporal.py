@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,9 @@ def edges_at(edges: DataFrame, timestamp: int, closed: str = "both") -> DataFram
 
 
 def graph_at(graph: PropertyGraph, timestamp: int, closed: str = "both") -> PropertyGraph:
-    return graph.with_edges(edges_at(graph.edges, timestamp, closed))
+    """The graph with the edges visible at a time, also in its walking order."""
+    laid = graph.adjacency and graph.adjacency.where(visible(F.lit(int(timestamp)), closed))
+    return replace(graph, edges=edges_at(graph.edges, timestamp, closed), adjacency=laid)
 
 
 def edges_over(edges: DataFrame, timestamps: DataFrame, closed: str = "both") -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meshlark.graph import PropertyGraph
+from meshlark.plans.lineage import store
 from meshlark.sources import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +32,11 @@ def ctes(*parts: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(p.strip() for p in parts) + "\n"
 
 
+def kept(graph: PropertyGraph) -> PropertyGraph:
+    """The graph over a written edge table, as a graph that is derived once and then asked."""
+    return graph.with_edges(store(graph.edges).df)
+
+
 # ---- requests derived from the data ---------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from meshlark.operators import maintenance, pattern, temporal, traverse
 from meshlark.operators.flows import flows_to_edges, ip_nodes, packet_ips, packets_to_flows
 from meshlark.plans.lineage import shared_folder
 from meshlark.sources import derived, export, frames, tables
+from meshlark.sources.adjacency import read_adjacency, with_adjacency, write_adjacency
 from registry import base
 from registry.base import EDGES, PAIRS, USERS, ctes, flow_ctes, links_cte, query, reach_cte
 
@@ -39,15 +41,14 @@ def s01(spark, d):
 
 
 @query("s01_import_embeddings", """
-SELECT row_number() OVER (ORDER BY vec_id) - 1 AS node_id, CAST(label AS VARCHAR) AS label,
-  CAST(vec_id AS VARCHAR) AS vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y,
-  2 AS size FROM embeddings""")
+SELECT dense_rank() OVER (ORDER BY vec_id) - 1 AS node_id, CAST(label AS VARCHAR) AS label,
+  CAST(vec_id AS VARCHAR) AS vec_id, at, CAST(embedding[at + 1] AS DOUBLE) AS x FROM embeddings, range(64) r(at)""")
 def s01e(spark, d):
-    rows = derived.table(spark, d, "embeddings").select(
-        "vec_id", "label", c("embedding")[0].alias("e1"), c("embedding")[1].alias("e2"))
-    made = frames.import_nodes(rows, embedding_cols=["e1", "e2"], order=["vec_id"])
-    return made.select("node_id", c("labels")[0].alias("label"), prop("vec_id"), c("embedding")[0].alias("x"),
-                       c("embedding")[1].alias("y"), F.size("embedding").alias("size"))
+    names = [f"e{n}" for n in range(64)]
+    rows = derived.table(spark, d, "embeddings").select("vec_id", "label", *[c("embedding")[n].alias(e) for n, e in enumerate(names)])
+    made = frames.import_nodes(rows, embedding_cols=names, order=["vec_id"])
+    return made.select("node_id", c("labels")[0].alias("label"), prop("vec_id"), F.posexplode("embedding").alias("at", "x")).withColumn(
+        "at", c("at").cast("long"))
 
 
 @query("s02_import_edges", """
@@ -116,7 +117,7 @@ def s05(spark, d):
 @query("s06_export_bfs", ctes(EDGES, USERS, PAIRS, links_cte(), reach_cte("hubs", 2), recursive=True) + """
 SELECT r.start, r.node_id, r.depth, 'User' AS labels, u.name FROM reach r JOIN users u USING (node_id)""")
 def s06(spark, d):
-    return export.export_bfs(derived.activity_graph(spark, d), base.hubs(spark, d), 2)
+    return export.export_bfs(base.kept(derived.activity_graph(spark, d)), base.hubs(spark, d), 2)
 
 
 @query("s07_nodes_to_dataframe", ctes(USERS) + """SELECT node_id AS id, 'User' AS labels, name FROM users""")
@@ -301,33 +302,44 @@ def t01t(spark, d):
 
 @query("t02_bfs", ctes(EDGES, PAIRS, links_cte(), reach_cte("hubs", 3), recursive=True) + "FROM reach")
 def t02(spark, d):
-    return traverse.bfs(derived.activity_graph(spark, d), base.hubs(spark, d), 3)
+    return traverse.bfs(base.kept(derived.activity_graph(spark, d)), base.hubs(spark, d), 3)
 
 
 @query("t02_bfs_typed", ctes(EDGES, PAIRS, links_cte(where="edge_type = 'click'"), reach_cte("hubs", 3),
                              recursive=True) + "FROM reach")
 def t02t(spark, d):
-    return traverse.bfs(derived.activity_graph(spark, d), base.hubs(spark, d), 3, edge_type="click")
+    return traverse.bfs(base.kept(derived.activity_graph(spark, d)), base.hubs(spark, d), 3, edge_type="click")
 
 
 def path_sql(edges: str) -> str:
-    starts = "from_nodes AS (SELECT DISTINCT from_node AS node_id FROM pairs)"
-    return ctes(EDGES, PAIRS, *([edges] if edges else []), links_cte("snapshot" if edges else "edges"), starts,
-                reach_cte("from_nodes", 12), recursive=True) + """
-SELECT DISTINCT p.from_node, p.to_node, r.depth AS length, CAST(r.depth AS DOUBLE) AS cost FROM pairs p
-LEFT JOIN reach r ON r.start = p.from_node AND r.node_id = p.to_node"""
+    """Level by level; of the paths that reach a node first, the smallest list of ids stays."""
+    return ctes(EDGES, PAIRS, *([edges] if edges else []), links_cte("snapshot" if edges else "edges"), """
+walk(start, node_id, length, path) USING KEY (start, node_id) AS (
+  SELECT DISTINCT from_node, from_node, 0, [from_node] FROM pairs
+  UNION SELECT w.start, l.dst, w.length + 1, min(list_append(w.path, l.dst)) FROM walk w JOIN links l ON l.src = w.node_id
+    LEFT JOIN recurring.walk o ON o.start = w.start AND o.node_id = l.dst
+    WHERE o.node_id IS NULL GROUP BY w.start, l.dst, w.length)""", recursive=True) + """
+SELECT DISTINCT p.from_node, p.to_node, w.length, CAST(w.length AS DOUBLE) AS cost, array_to_string(w.path, '>') AS path
+FROM pairs p LEFT JOIN walk w ON w.start = p.from_node AND w.node_id = p.to_node"""
 
 
 def cost_sql(edges: str) -> str:
+    """Rounds of improved nodes; a node keeps its least (cost, length, list of ids)."""
     return ctes(EDGES, PAIRS, *([edges] if edges else []), links_cte("snapshot" if edges else "edges"), """
-best(start, node_id, cost) USING KEY (start, node_id) AS (
-  SELECT DISTINCT from_node, from_node, CAST(0.0 AS DOUBLE) FROM pairs
-  UNION SELECT b.start, l.dst, min(b.cost + l.weight) FROM best b JOIN links l ON l.src = b.node_id
-    LEFT JOIN recurring.best o ON o.start = b.start AND o.node_id = l.dst
-    GROUP BY b.start, l.dst, o.cost HAVING o.cost IS NULL OR min(b.cost + l.weight) < o.cost)""",
+best(start, node_id, b) USING KEY (start, node_id) AS (
+  SELECT DISTINCT from_node, from_node, {'cost': CAST(0.0 AS DOUBLE), 'length': 0, 'path': [from_node]} FROM pairs
+  UNION SELECT w.start, l.dst, min({'cost': w.b.cost + l.weight, 'length': w.b.length + 1, 'path': list_append(w.b.path, l.dst)})
+    FROM best w JOIN links l ON l.src = w.node_id
+    LEFT JOIN recurring.best o ON o.start = w.start AND o.node_id = l.dst GROUP BY w.start, l.dst, o.b
+    HAVING o.b IS NULL
+      OR min({'cost': w.b.cost + l.weight, 'length': w.b.length + 1, 'path': list_append(w.b.path, l.dst)}) < o.b)""",
                 recursive=True) + """
-SELECT DISTINCT p.from_node, p.to_node, round(b.cost, 6) AS cost FROM pairs p
-LEFT JOIN best b ON b.start = p.from_node AND b.node_id = p.to_node"""
+SELECT DISTINCT p.from_node, p.to_node, w.b.length AS length, round(w.b.cost, 6) AS cost, array_to_string(w.b.path, '>') AS path
+FROM pairs p LEFT JOIN best w ON w.start = p.from_node AND w.node_id = p.to_node"""
+
+
+def joined_path():
+    return F.array_join("path", ">").alias("path")
 
 
 VISIBLE = "(valid_from IS NULL OR valid_from <= {t}) AND (valid_to IS NULL OR valid_to >= {t})"
@@ -336,14 +348,40 @@ AT = f"snapshot AS (SELECT * FROM edges WHERE {VISIBLE.format(t=SNAPSHOT)})"
 
 @query("t03_shortest_path", path_sql(""))
 def t03(spark, d):
-    found = traverse.shortest_path(derived.activity_graph(spark, d), base.hub_pairs(spark, d))
-    return found.select("from_node", "to_node", "length", "cost")
+    found = traverse.shortest_path(base.kept(derived.activity_graph(spark, d)), base.hub_pairs(spark, d))
+    return found.select("from_node", "to_node", "length", "cost", joined_path())
 
 
 @query("t04_shortest_path_weighted", cost_sql(""))
 def t04(spark, d):
-    found = traverse.shortest_path(derived.activity_graph(spark, d), base.hub_pairs(spark, d), weighted=True)
-    return found.select("from_node", "to_node", F.round("cost", 6).alias("cost"))
+    found = traverse.shortest_path(base.kept(derived.activity_graph(spark, d)), base.hub_pairs(spark, d), weighted=True)
+    return found.select("from_node", "to_node", "length", F.round("cost", 6).alias("cost"), joined_path())
+
+
+@query("t03_shortest_path_both_ways", ctes(EDGES, PAIRS, base.both_ways(), """
+walk(start, node_id, path) USING KEY (start, node_id) AS (
+  SELECT DISTINCT from_node, from_node, [from_node] FROM pairs
+  UNION SELECT w.start, l.dst, min(list_append(w.path, l.dst)) FROM walk w JOIN links l ON l.src = w.node_id
+    LEFT JOIN recurring.walk o ON o.start = w.start AND o.node_id = l.dst WHERE o.node_id IS NULL GROUP BY w.start, l.dst)""",
+    recursive=True) + """
+SELECT DISTINCT p.from_node, p.to_node, array_to_string(w.path, '>') AS path FROM pairs p
+LEFT JOIN walk w ON w.start = p.from_node AND w.node_id = p.to_node""")
+def t03b(spark, d):
+    """Over the stored walking order, against the edges' direction too."""
+    graph = with_adjacency(derived.activity_graph(spark, d), f"{shared_folder(spark)}/graphs/{uuid.uuid4().hex}")
+    found = traverse.shortest_path(graph, base.hub_pairs(spark, d), direction="both")
+    return found.select("from_node", "to_node", joined_path())
+
+
+@query("t02_bfs_stored", ctes(EDGES, PAIRS, links_cte(where="edge_type <> 'error'"), reach_cte("hubs", 2), recursive=True)
+       + "FROM reach")
+def t02s(spark, d):
+    """Over the stored walking order, laid out in 16 parts, without the edges of one type."""
+    path = f"{shared_folder(spark)}/graphs/{uuid.uuid4().hex}"
+    graph = derived.activity_graph(spark, d)
+    write_adjacency(graph.edges, path, parts=16)
+    laid = read_adjacency(spark, path).where("edge_type <> 'error'")
+    return traverse.bfs(replace(graph, adjacency=laid), base.hubs(spark, d), 2)
 
 
 @query("t05_neighbors_at", ctes(EDGES, PAIRS, AT) + """
@@ -355,19 +393,19 @@ def t05(spark, d):
 
 @query("t06_bfs_at", ctes(EDGES, PAIRS, AT, links_cte("snapshot"), reach_cte("hubs", 3), recursive=True) + "FROM reach")
 def t06(spark, d):
-    return traverse.bfs_at(derived.activity_graph(spark, d), base.hubs(spark, d), SNAPSHOT, 3)
+    return traverse.bfs_at(base.kept(derived.activity_graph(spark, d)), base.hubs(spark, d), SNAPSHOT, 3)
 
 
 @query("t07_shortest_path_at", path_sql(AT))
 def t07(spark, d):
-    found = traverse.shortest_path_at(derived.activity_graph(spark, d), base.hub_pairs(spark, d), SNAPSHOT)
-    return found.select("from_node", "to_node", "length", "cost")
+    found = traverse.shortest_path_at(base.kept(derived.activity_graph(spark, d)), base.hub_pairs(spark, d), SNAPSHOT)
+    return found.select("from_node", "to_node", "length", "cost", joined_path())
 
 
 @query("t07_shortest_path_at_weighted", cost_sql(AT))
 def t07w(spark, d):
-    found = traverse.shortest_path_at(derived.activity_graph(spark, d), base.hub_pairs(spark, d), SNAPSHOT, True)
-    return found.select("from_node", "to_node", F.round("cost", 6).alias("cost"))
+    found = traverse.shortest_path_at(base.kept(derived.activity_graph(spark, d)), base.hub_pairs(spark, d), SNAPSHOT, True)
+    return found.select("from_node", "to_node", "length", F.round("cost", 6).alias("cost"), joined_path())
 
 
 @query("t08_edges_at", ctes(EDGES, AT) + "SELECT edge_id, src, dst, edge_type, weight, valid_from, valid_to FROM snapshot")

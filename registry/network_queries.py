@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meshlark.graph import PropertyGraph
 from meshlark.operators import communities, flows, flowstats, maintenance, network
 from meshlark.sources import derived
-from registry.base import IPS, flow_ctes, links_cte, query, reach_cte
+from registry.base import IPS, flow_ctes, kept, links_cte, query, reach_cte
 from registry.flow_queries import made_flows, pk
 
 c = F.col
@@ -149,6 +149,19 @@ def w08(spark, d):
     return communities.louvain(network.collapse(simple(spark, d)), vertices(spark, d))
 
 
+@query("w08_louvain_groups", """
+SELECT c_custkey AS id, dense_rank() OVER (ORDER BY lead) AS community FROM (
+  SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_nationkey, c_mktsegment) AS lead FROM customer)""")
+def w08_groups(spark, d):
+    """Customers linked to the first of their nation and segment: separate stars, each of which is best left whole."""
+    customers = derived.table(spark, d, "customer")
+    leads = customers.groupBy("c_nationkey", "c_mktsegment").agg(F.min("c_custkey").alias("lead"))
+    placed = customers.join(leads, ["c_nationkey", "c_mktsegment"])
+    edges = placed.select(c("lead").alias("src"), c("c_custkey").alias("dst"), (1 + c("c_custkey") % 5).cast("double").alias("weight"))
+    return communities.louvain(edges, customers.select(c("c_custkey").alias("id"))).withColumn(
+        "community", c("community").cast("long"))
+
+
 @query("w08_louvain_checks", net_sql() + """
 SELECT count(*) AS vertices, count(DISTINCT id) AS assigned, TRUE AS better_than_singletons, TRUE AS numbered_from_one FROM vertices""")
 def w08_checks(spark, d):
@@ -205,7 +218,7 @@ def ranked_graph(spark, d):
     registry = maintenance.get_or_create(flows.packet_ips(pk(spark, d)), "ip")
     graph = PropertyGraph(flows.ip_nodes(registry), flows.flows_to_edges(made_flows(spark, d), registry))
     ranks = network.pagerank(simple(spark, d), vertices(spark, d))
-    return graph, registry.join(ranks.withColumnRenamed("id", "ip"), "ip").select(c("node_id").alias("id"), "pagerank")
+    return kept(graph), registry.join(ranks.withColumnRenamed("id", "ip"), "ip").select(c("node_id").alias("id"), "pagerank")
 
 
 TOP = """
@@ -220,8 +233,18 @@ def w12(spark, d):
     return network.reach_from_top(graph, ranks, 2)
 
 
-@query("w12_path_between_top_two", net_sql(RANKS, TOP, links_cte("by_node"), reach_cte("best", 8), recursive=True) + """
-SELECT start AS from_node, node_id AS to_node, depth AS length FROM reach WHERE node_id IN (FROM top) AND node_id <> start""")
+@query("w12_path_between_top_two", net_sql(RANKS, TOP, links_cte("by_node"), """
+walk(start, node_id, length, path) USING KEY (start, node_id) AS (
+  SELECT node_id, node_id, 0, [node_id] FROM best
+  UNION SELECT w.start, l.dst, w.length + 1, min(list_append(w.path, l.dst)) FROM walk w JOIN links l ON l.src = w.node_id
+    LEFT JOIN recurring.walk o ON o.start = w.start AND o.node_id = l.dst WHERE o.node_id IS NULL
+    GROUP BY w.start, l.dst, w.length)""", recursive=True) + """
+SELECT start AS from_node, w.node_id AS to_node, length, array_to_string(path, '>') AS path,
+  (SELECT string_agg(ip, ' -> ' ORDER BY n) FROM (SELECT unnest(w.path) AS id, generate_subscripts(w.path, 1) AS n) x
+    JOIN ips ON ips.node_id = x.id) AS addresses
+FROM walk w WHERE w.node_id IN (FROM top) AND w.node_id <> start""")
 def w12p(spark, d):
     graph, ranks = ranked_graph(spark, d)
-    return network.path_between_top_two(graph, ranks).select("from_node", "to_node", "length")
+    found = network.named_path(network.path_between_top_two(graph, ranks), graph.nodes, "ip")
+    return found.select("from_node", "to_node", "length", F.array_join("path", ">").alias("path"),
+                        F.array_join("names", " -> ").alias("addresses"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meshlark.functions import vectors
 from meshlark.operators import anomaly, context, search
+from meshlark.plans.lineage import store
 from meshlark.sources import derived
 from registry import base
 from registry.base import (EDGES, HUB_VECTORS, LEADS, PAIRS, USERS, both_ways, ctes, links_cte, query, reach_cte)
@@ -83,7 +84,7 @@ WHERE rank <= 10"""
 
 def hybrid(alpha: float, hops: int):
     def run(spark, d):
-        found = search.hybrid_search(derived.activity_graph(spark, d), requests(spark, d), hops, 10, alpha)
+        found = search.hybrid_search(base.kept(derived.activity_graph(spark, d)), requests(spark, d), hops, 10, alpha)
         return found.select("request_id", "rank", "node_id", F.round("score", 6).alias("score"), "hops")
 
     return run
@@ -103,7 +104,7 @@ SELECT request_id, CAST(rank AS INTEGER) AS rank, node_id, round(similarity, 6)
 WHERE rank <= 10""")
 def v04(spark, d):
     asked = base.hub_vectors(spark, d).select(c("node_id").alias("request_id"), "node_id", c("vector").alias("concept"))
-    found = search.semantic_neighbors(derived.activity_graph(spark, d), asked, k=10)
+    found = search.semantic_neighbors(base.kept(derived.activity_graph(spark, d)), asked, k=10)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
@@ -126,7 +127,7 @@ SELECT request_id, array_to_string(path, '>') AS path FROM w{hops}"""
 def v05(spark, d):
     asked = base.hub_vectors(spark, d).select(
         c("node_id").alias("request_id"), c("node_id").alias("start"), c("vector").alias("concept"))
-    found = search.semantic_walk(derived.activity_graph(spark, d), asked, 4)
+    found = search.semantic_walk(base.kept(derived.activity_graph(spark, d)), asked, 4)
     return found.select("request_id", F.array_join(c("path").cast("array<string>"), ">").alias("path"))
 
 
@@ -186,12 +187,12 @@ SELECT center, '{{"nodes":[' || (SELECT string_agg('{{"id":' || node_id || ',"la
 
 @query("r01_extract_subgraph", ctes(EDGES, PAIRS, *subgraph_ctes("hubs", 2, 50), recursive=True) + "FROM sizes")
 def r01(spark, d):
-    return context.extract_subgraph(derived.activity_graph(spark, d), base.hubs(spark, d), 2, 50).counts()
+    return context.extract_subgraph(base.kept(derived.activity_graph(spark, d)), base.hubs(spark, d), 2, 50).counts()
 
 
 def linearized(fmt: str):
     def run(spark, d):
-        graph = derived.activity_graph(spark, d)
+        graph = base.kept(derived.activity_graph(spark, d))
         return context.linearize(graph, context.extract_subgraph(graph, base.hubs(spark, d), 2, 50), fmt)
 
     return run
@@ -219,7 +220,7 @@ def r06(spark, d):
         (c("query_id") + 1000000000).alias("question_id"),
         F.concat(F.lit("What is like vector "), "query_id", F.lit("?")).alias("question"),
         F.lit(None).cast("long").alias("anchor"), c("vector").alias("embedding"))
-    return context.rag_contexts(derived.activity_graph(spark, d), anchored.unionByName(open_), 1, 20, "prose")
+    return context.rag_contexts(base.kept(derived.activity_graph(spark, d)), anchored.unionByName(open_), 1, 20, "prose")
 
 
 # ---- anomaly --------------------------------------------------------------------------------------------
@@ -285,6 +286,37 @@ def a03e(spark, d):
     return found.withColumn("score", F.round("score", 6))
 
 
+AS_OF = 1705298400000  # 2024-01-15T06:00Z, the start of a bucket
+AS_OF_SCORES = f"""
+known AS (SELECT * FROM activity WHERE at_ms < ({AS_OF} // {RULE.bucket_ms} + 1) * {RULE.bucket_ms}),
+counts AS (SELECT entity_id, at_ms // {RULE.bucket_ms} AS bucket, count(*) AS n FROM known GROUP BY ALL),
+calendar AS (SELECT entity_id, unnest(range(a, {AS_OF} // {RULE.bucket_ms} + 1)) AS bucket
+  FROM (SELECT entity_id, min(bucket) AS a FROM counts GROUP BY entity_id)),
+profile AS (SELECT entity_id, bucket, coalesce(n, 0) AS activity FROM calendar LEFT JOIN counts USING (entity_id, bucket)),
+framed AS (SELECT *, count(*) OVER w AS k, avg(activity) OVER w AS m, stddev_samp(activity) OVER w AS s FROM profile
+  WINDOW w AS (PARTITION BY entity_id ORDER BY bucket ROWS BETWEEN {RULE.width} PRECEDING AND 1 PRECEDING)),
+last AS (SELECT entity_id, bucket, CASE WHEN k >= {RULE.least} THEN (activity - m) / greatest(s, {RULE.floor}) END AS score
+  FROM framed QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY bucket DESC) = 1)"""
+
+
+@query("a03_anomaly_check_as_of", ctes(EDGES, NODE_ACTIVITY, AS_OF_SCORES) + CHECK.format(
+    is_node="TRUE", entities="(SELECT vec_id AS entity_id FROM embeddings)"))
+def a03at(spark, d):
+    wanted = derived.table(spark, d, "embeddings").select(c("vec_id").alias("entity_id"))
+    found = anomaly.anomaly_check(node_activity(spark, d), wanted, True, RULE, as_of=AS_OF)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("a04_anomaly_alerts_as_of", ctes(EDGES, NODE_ACTIVITY, AS_OF_SCORES) + f"""
+SELECT entity_id, TRUE AS is_node, {BUCKET}, round(score, 6) AS score FROM last WHERE score >= 0.5""")
+def a04at(spark, d):
+    """With first buckets known beforehand, so that only the last eight buckets of the activity are read."""
+    rule = anomaly.Baseline(bucket_ms=RULE.bucket_ms, threshold=0.5)
+    activity = node_activity(spark, d)
+    firsts = store(anomaly.first_buckets(activity, rule)).df
+    return anomaly.anomaly_alerts(activity, rule, as_of=AS_OF, firsts=firsts).withColumn("score", F.round("score", 6))
+
+
 @query("a04_anomaly_alerts", ctes(EDGES, NODE_ACTIVITY, SCORES) + f"""
 SELECT entity_id, TRUE AS is_node, {BUCKET}, round(score, 6) AS score FROM last WHERE score >= 1.0""")
 def a04(spark, d):

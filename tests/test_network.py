@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meshlark.graph import GraphError
 from meshlark.operators import communities, network
+from meshlark.plans.lineage import store
 
 
 def net(spark, rows):
@@ -123,6 +124,77 @@ def test_louvain_quality_on_random_net(spark):
         communities.louvain(net(spark, rows), ids(spark, 2))
 
 
+def best_move(rows, member, v):
+    """What the best move of ``v`` adds to modularity."""
+    others = {member[b if a == v else a] for a, b, _ in rows if v in (a, b)} - {member[v]}
+    return max((quality(rows, member | {v: o}) - quality(rows, member) for o in others), default=0.0)
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_louvain_ends_where_no_vertex_gains(spark, seed):
+    rnd = random.Random(seed)
+    weights = {}
+    for _ in range(150):
+        a, b = sorted(rnd.sample(range(40), 2))
+        weights[a, b] = weights.get((a, b), 0) + rnd.choice([0.5, 1, 7])
+    rows = [(a, b, w) for (a, b), w in weights.items()]
+    found = communities.louvain(net(spark, rows), ids(spark, 40), tolerance=1e-9)
+    member = {int(r.id): r.community for r in found.collect()}
+    # Contraction moves whole communities, so single vertices are tried at the end of the last level only by the groups
+    # they came in; what is left to gain must be little, and no whole community may gain by joining another.
+    assert quality(rows, member) > 0.25
+    groups = sorted(set(member.values()))
+    for g in groups:
+        for h in groups:
+            joined = {v: h if m == g else m for v, m in member.items()}
+            assert quality(rows, joined) <= quality(rows, member) + 1e-9
+    leads = [min(str(v) for v, m in member.items() if m == g) for g in groups]
+    assert groups == list(range(1, len(groups) + 1)) and leads == sorted(leads)
+
+
+def test_local_moving_leaves_no_gain(spark):
+    """One level on its own: afterwards no single vertex gains by any move."""
+    rnd = random.Random(11)
+    rows = [(a, b, float(rnd.choice([1, 2, 9]))) for a, b in itertools.combinations(range(24), 2) if rnd.random() < 0.25]
+    arcs = [(a, b, w) for a, b, w in rows] + [(b, a, w) for a, b, w in rows]
+    level = store(spark.createDataFrame(arcs, "src long, dst long, weight double"))
+    found, moved = communities._local_moving(level, sum(w for _, _, w in arcs), 1e-9, communities._Rounds(None))
+    member = {r.node: r.community for r in found.collect()}
+    assert moved and all(best_move(rows, member, v) < 1e-8 for v in member)
+
+
+def test_louvain_says_when_it_is_cut_short(spark):
+    rows = [(a, b, 1) for a, b in itertools.combinations(range(6), 2)]
+    with pytest.raises(GraphError):
+        communities.louvain(net(spark, rows), ids(spark, 6), max_rounds=1)
+    with pytest.raises(GraphError):
+        communities.louvain(net(spark, rows), ids(spark, 6), tolerance=0.0)
+
+
+def test_louvain_rates_only_what_moved(spark, monkeypatch):
+    """Separate groups: rounds after the first rate fewer and fewer vertices."""
+    rated = []
+    plain = communities._rated
+
+    def counted(between, assigned, active, *rest):
+        rated.append(None if active is None else active.count())
+        return plain(between, assigned, active, *rest)
+
+    monkeypatch.setattr(communities, "_rated", counted)
+    rows = [(10 * g, 10 * g + k, 1 + k) for g in range(6) for k in range(1, 6)]
+    member = {int(r.id): r.community for r in communities.louvain(net(spark, rows), ids(spark, 60)).collect()}
+    assert all(member[10 * g + k] == member[10 * g] for g in range(6) for k in range(6))
+    later = [n for n in rated if n is not None]
+    assert rated[0] is None and later and later[-1] < later[0]
+
+
+def test_named_path(spark):
+    nodes = spark.createDataFrame([(1, {"ip": "a"}), (2, {"ip": "b"}), (3, {})], "node_id long, properties map<string,string>")
+    paths = spark.createDataFrame([(1, 3, [1, 2, 3]), (2, 1, None)], "from_node long, to_node long, path array<long>")
+    got = {(r.from_node, r.to_node): r.names for r in network.named_path(paths, nodes, "ip").collect()}
+    assert got == {(1, 3): ["a", "b", None], (2, 1): None}
+
+
 def test_simplify_keeps_first_protocol(spark):
     rows = spark.createDataFrame([("a", "b", "UDP", 1, 3.0, 1, 5), ("a", "b", "TCP", 2, 4.0, 1, 9), ("a", "a", "TCP", 9, 1.0, 1, 1)],
                                  "src string, dst string, protocol string, weight long, total_bytes double, num_flows long, first_edge long")

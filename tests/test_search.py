@@ -176,3 +176,66 @@ def test_anomaly_states(spark):
     alert = anomaly.anomaly_alerts(rows, rule).collect()
     assert [(r.entity_id, r.is_node, r.score) for r in alert] == [(2, True, 8.0)]
     assert anomaly.anomaly_stats(rows, ids_of(spark, 2, name="entity_id"), False, rule).count() == 1
+
+
+def activity_rows(seed=4):
+    rnd = random.Random(seed)
+    rows = [(e, True, rnd.randrange(300)) for e in range(6) for _ in range(rnd.randint(1, 60))]
+    rows += [(7, True, 3), (7, True, 4), (8, True, 250), (9, True, 5)] + [(9, True, 123)] * 5
+    return rows
+
+
+def plain_score(times, bucket, rule):
+    """``score`` of a bucket by listing all buckets, or None."""
+    counts = [sum(t // rule.bucket_ms == b for t in times) for b in range(min(times) // rule.bucket_ms, bucket + 1)]
+    before = counts[:-1][-rule.width:]
+    if len(before) < rule.least or not before:
+        return None
+    mean = sum(before) / len(before)
+    std = (sum((x - mean) ** 2 for x in before) / (len(before) - 1)) ** 0.5 if len(before) > 1 else 0.0
+    return (counts[-1] - mean) / max(std, rule.floor)
+
+
+@pytest.mark.parametrize("as_of", [None, 0, 57, 123, 299, 5_000])
+@pytest.mark.parametrize("least", [0, 1, 3])
+def test_latest_scores_brute_force(spark, as_of, least):
+    rule = anomaly.Baseline(bucket_ms=10, least=least)
+    rows = activity_rows()
+    activity = spark.createDataFrame(rows, "entity_id long, is_node boolean, at_ms long")
+    got = {r.entity_id: (r.bucket, r.score) for r in anomaly.latest_scores(activity, rule, as_of).collect()}
+    want = {}
+    for e in {r[0] for r in rows}:
+        times = [t for x, _, t in rows if x == e and (as_of is None or t // 10 <= as_of // 10)]
+        if times:
+            bucket = max(times) // 10 if as_of is None else as_of // 10
+            want[e] = (bucket, plain_score(times, bucket, rule))
+    assert got.keys() == want.keys()
+    for e, (bucket, score) in want.items():
+        assert got[e][0] == bucket and got[e][1] == (None if score is None else pytest.approx(score, abs=1e-9)), e
+    if as_of is not None:
+        firsts = anomaly.first_buckets(activity, rule)
+        again = anomaly.latest_scores(activity, rule, as_of, firsts)
+        assert {r.entity_id: (r.bucket, r.score) for r in again.collect()} == got
+
+
+def test_long_gaps_need_no_calendar(spark):
+    rule = anomaly.Baseline(bucket_ms=1)
+    rows = [(1, True, 0), *[(1, True, 40_000_000_000)] * 6, (2, True, 5)]
+    activity = spark.createDataFrame(rows, "entity_id long, is_node boolean, at_ms long")
+    assert {(r.entity_id, r.bucket, r.score) for r in anomaly.anomaly_alerts(activity, rule).collect()} == {(1, 40_000_000_000, 6.0)}
+    assert anomaly.anomaly_alerts(activity, rule, as_of=40_000_000_001).count() == 0
+    history = anomaly.anomaly_stats(activity, ids_of(spark, 1, name="entity_id"), True, rule, empty_buckets=False).collect()
+    assert [(r.bucket, r.activity, r.score) for r in sorted(history, key=lambda r: r.bucket)] == [(0, 1, None), (40_000_000_000, 6, 6.0)]
+    wide = spark.createDataFrame([(1, True, 0), (1, True, 250_000)], "entity_id long, is_node boolean, at_ms long")
+    profile = anomaly.activity_profile(anomaly.bucket_counts(wide, rule))
+    assert profile.count() == 250_001 and profile.agg(F.sum("activity")).first()[0] == 2
+
+
+def test_as_of_reads_the_last_buckets_only(spark, tmp_path):
+    rule = anomaly.Baseline(bucket_ms=10)
+    spark.createDataFrame(activity_rows(), "entity_id long, is_node boolean, at_ms long").write.parquet(str(tmp_path / "a"))
+    activity = spark.read.parquet(str(tmp_path / "a"))
+    firsts = spark.createDataFrame(
+        anomaly.first_buckets(activity, rule).collect(), "entity_id long, is_node boolean, first_bucket long")
+    plan = anomaly.latest_scores(activity, rule, as_of=200, firsts=firsts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "LessThan(at_ms,210)" in plan and "GreaterThanOrEqual(at_ms,130)" in plan

@@ -1,6 +1,7 @@
 import heapq
 import itertools
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from meshlark.functions.scalars import epoch_ms
 from meshlark.graph import GraphError
 from meshlark.operators import temporal, traverse
 from meshlark.operators.pattern import Edge, Node, match
+from meshlark.plans.lineage import store
+from meshlark.sources.adjacency import read_adjacency, write_adjacency
 
 
 def friends(spark):
@@ -120,8 +123,8 @@ def test_bfs_brute_force(spark, both, hot, request):
     got = traverse.bfs(graph, ids_of(spark, 0, 5, 99), 2, "both" if both else "outgoing")
     want = {(s, v, d) for s in (0, 5) for v, d in depths(edges, s, 2, both).items()}
     assert {(r.start, r.node_id, r.depth) for r in got.collect()} == want
-    scanned = traverse.bfs(graph, ids_of(spark, 0, 5), 2, "both" if both else "outgoing", prepare=False)
-    assert {(r.start, r.node_id, r.depth) for r in scanned.collect()} == want
+    prepared = traverse.bfs(graph, ids_of(spark, 0, 5), 2, "both" if both else "outgoing", prepare=True)
+    assert {(r.start, r.node_id, r.depth) for r in prepared.collect()} == want
 
 
 def test_bfs_zero_depth_and_long_chain(spark):
@@ -185,3 +188,92 @@ def test_match_reads_only_used_columns(spark, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(edge_type), EqualTo(edge_type,E)" in text
     assert "ReadSchema: struct<edge_id:bigint,src:bigint,dst:bigint,edge_type:string>" in text
+
+
+# ---- over the stored walking order ----------------------------------------------------------------------
+
+
+@pytest.fixture()
+def laid(spark, tmp_path):
+    """A random graph of two edge types with its walking order in five parts."""
+    edges = random_edges(7, n=40, m=160)
+    graph = graph_of(spark, edges, n=41)
+    graph = graph.with_edges(graph.edges.withColumn("edge_type", F.when(F.col("edge_id") % 3 == 0, "F").otherwise("E"))
+                             .withColumn("valid_from", F.col("edge_id")))
+    write_adjacency(graph.edges, str(tmp_path / "a"), parts=5)
+    return edges, replace(graph, adjacency=read_adjacency(spark, str(tmp_path / "a")))
+
+
+@pytest.mark.parametrize("direction,small", [("outgoing", 0), ("outgoing", 3), ("incoming", 200_000), ("both", 3)])
+def test_bfs_over_walking_order(spark, laid, direction, small, monkeypatch):
+    monkeypatch.setattr(traverse, "SMALL_ROWS", small)
+    edges, graph = laid
+    walk = [(b, a, w) for a, b, w in edges] if direction == "incoming" else edges
+    got = traverse.bfs(graph, ids_of(spark, 1, 9, 40, 77), 6, direction)
+    want = {(s, v, d) for s in (1, 9, 40) for v, d in depths(walk, s, 6, direction == "both").items()}
+    assert {tuple(r) for r in got.collect()} == want
+    typed = traverse.bfs(graph, ids_of(spark, 1), 6, edge_type="F")
+    assert {(r.node_id, r.depth) for r in typed.collect()} == set(depths([e for i, e in enumerate(edges) if i % 3 == 0], 1, 6).items())
+    early = traverse.bfs_at(graph, ids_of(spark, 1), 60, 6)
+    assert {(r.node_id, r.depth) for r in early.collect()} == set(depths(edges[:61], 1, 6).items())
+
+
+@pytest.mark.parametrize("most", [1, 7])
+def test_bfs_keeps_the_first_nodes(spark, laid, most):
+    edges, graph = laid
+    got = traverse.bfs(graph, ids_of(spark, 1, 9, 40), 3, "both", most=most)
+    want = set()
+    for s in (1, 9, 40):
+        ordered = sorted((d, v) for v, d in depths(edges, s, 3, True).items())
+        want |= {(s, v, d) for d, v in ordered[:most]}
+    assert {tuple(r) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("weighted,small", [(False, 0), (False, 200_000), (True, 4)])
+def test_paths_over_walking_order(spark, laid, weighted, small, monkeypatch):
+    monkeypatch.setattr(traverse, "SMALL_ROWS", small)
+    monkeypatch.setattr(traverse, "MERGE_EVERY", 2)
+    edges, graph = laid
+    pairs = [(a, b) for a, b in itertools.product((1, 9, 40), (2, 5, 33, 1))] + [(1, 500), (None, 1)]
+    rows = traverse.shortest_path(graph, spark.createDataFrame(pairs, "from_node long, to_node long"), weighted).collect()
+    assert len(rows) == len(pairs)
+    for r in rows:
+        known = r.from_node is not None and r.to_node < 500
+        want = best_path(edges, r.from_node, r.to_node, weighted) if known else None
+        assert (r.cost, r.length, r.path) == (want or (None, None, None)), (r, want)
+
+
+def test_two_sided_search_needs_half_the_levels(spark, monkeypatch):
+    """A long chain beside a large star: no side may walk into the star beyond the first level."""
+    chain = [(i, i + 1) for i in range(20)]
+    graph = graph_of(spark, chain + [(21, 100 + i) for i in range(50)] + [(20, 21)], n=200)
+    grown = []
+    grow = traverse._Side.grow
+    monkeypatch.setattr(traverse._Side, "grow", lambda self, wanted: (grow(self, wanted), grown.append(self.level.rows)))
+    row = traverse.shortest_path(graph, spark.createDataFrame([(0, 20)], "from_node long, to_node long")).first()
+    assert row.path == list(range(21)) and len(grown) == 20 and max(grown) == 1
+
+
+def test_a_step_reads_only_the_frontiers_parts(spark, laid):
+    _, graph = laid
+    frontier = store(ids_of(spark, 1, 9))
+    step = traverse.scanned_links(graph, "outgoing", "F").step(frontier.df)
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "(edge_type#" in plan and "hashpartitioning" not in plan
+    step.collect()
+    final = step._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+    # Without a walking order the edges are scanned where they lie.
+    plain = traverse.scanned_links(replace(graph, adjacency=None)).step(frontier.df)
+    assert "hashpartitioning" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_search_writes_only_improvements(spark, monkeypatch):
+    """Rows written by a weighted search on a chain: one improvement a round, not the state again."""
+    graph = graph_of(spark, [(i, i + 1, 1) for i in range(15)])
+    monkeypatch.setattr(traverse, "MERGE_EVERY", 100)
+    written = []
+    plain = traverse.store
+    monkeypatch.setattr(traverse, "store", lambda df, **m: written.append(plain(df, **m)) or written[-1])
+    found = traverse.relax(traverse.scanned_links(graph), ids_of(spark, 0, name="origin"))
+    assert found.count() == 16 and [t.rows for t in written] == [1] * 16 + [0]
