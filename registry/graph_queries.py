@@ -42,13 +42,13 @@ def s01(spark, d):
 
 @query("s01_import_embeddings", """
 SELECT dense_rank() OVER (ORDER BY vec_id) - 1 AS node_id, CAST(label AS VARCHAR) AS label,
-  CAST(vec_id AS VARCHAR) AS vec_id, at, CAST(embedding[at + 1] AS DOUBLE) AS x FROM embeddings, range(64) r(at)""")
+  CAST(vec_id AS VARCHAR) AS vec_id, place, CAST(embedding[place + 1] AS DOUBLE) AS x FROM embeddings, range(64) r(place)""")
 def s01e(spark, d):
     names = [f"e{n}" for n in range(64)]
     rows = derived.table(spark, d, "embeddings").select("vec_id", "label", *[c("embedding")[n].alias(e) for n, e in enumerate(names)])
     made = frames.import_nodes(rows, embedding_cols=names, order=["vec_id"])
-    return made.select("node_id", c("labels")[0].alias("label"), prop("vec_id"), F.posexplode("embedding").alias("at", "x")).withColumn(
-        "at", c("at").cast("long"))
+    return made.select("node_id", c("labels")[0].alias("label"), prop("vec_id"), F.posexplode("embedding").alias("place", "x")).withColumn(
+        "place", c("place").cast("long"))
 
 
 @query("s02_import_edges", """
