@@ -44,17 +44,18 @@ def merged(old: Column, new: Column) -> Column:
 def _merge(table: DataFrame, updates: DataFrame, key: str, order: str | None) -> DataFrame:
     """Apply the updates of an id in ``order``, so that the last one that names a property sets it.
 
-    The updates become one row per (id, property) before they meet the table. Without ``order`` two updates that
-    give one property of one id different values are refused.
+    The updates become one row per (id, property) before they meet the table. Two updates that give one property of
+    one id different values are refused if they stand at the same place in the order; without ``order`` all do.
     """
     entries = updates.select(key, (F.col(order) if order else F.lit(0)).alias("_at"), F.explode("properties").alias("_name", "_value"))
-    if order is None:
-        clash = (entries.groupBy(key, "_name").agg(F.min(F.struct("_value")).alias("a"), F.max(F.struct("_value")).alias("b"))
-                 .where("NOT (a <=> b)").limit(1).collect())
-        if clash:
-            raise GraphError(f"updates of {key} {clash[0][0]} disagree on {clash[0][1]}; name an order column")
-    last = entries.groupBy(key, "_name").agg(F.max(F.struct("_at", "_value")).alias("_last"))
-    changes = last.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_name", "_last._value"))).alias("_new"))
+    value = F.struct("_value")  # so that a null counts as a value
+    at_once = entries.groupBy(key, "_name", "_at").agg(F.min(value).alias("a"), F.max(value).alias("b"))
+    last = at_once.groupBy(key, "_name").agg(F.max(F.struct("_at", "a", "b")).alias("_last"))
+    clash = last.where("NOT (_last.a <=> _last.b)").limit(1).collect()
+    if clash:
+        where = f"at the same {order}" if order else "; name an order column"
+        raise GraphError(f"updates of {key} {clash[0][0]} disagree on {clash[0][1]} {where}")
+    changes = last.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_name", "_last.a._value"))).alias("_new"))
     old = table.schema["properties"].dataType
     if isinstance(old, T.StructType):
         values = [F.when(F.array_contains(F.map_keys("_new"), f.name), F.col("_new")[f.name].cast(f.dataType))

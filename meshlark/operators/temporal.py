@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshlark.graph import GraphError, PropertyGraph
+from meshlark.plans.ordered import running_totals
 
 
 def visible(timestamp: Column, closed: str = "both") -> Column:
@@ -59,3 +60,24 @@ def sweep(edges: DataFrame, timestamps: DataFrame, op: Callable[[DataFrame], Dat
           closed: str = "both") -> DataFrame:
     """Apply ``op`` to the visible edges of all sweep points at once; ``op`` keeps ``timestamp`` as a key."""
     return op(edges_over(edges, timestamps, closed))
+
+
+def sweep_totals(edges: DataFrame, timestamps: DataFrame, totals: dict[str, Column], closed: str = "both") -> DataFrame:
+    """``timestamp`` and the sums of ``totals`` over the edges visible then, for every sweep point.
+
+    An edge is added when its window begins and taken off after it ends, so the work grows with edges plus points and
+    not with their combinations: changes at one moment are summed, and running totals over the moments give each point
+    its sums. Windows that end before they begin hold no point. Sums of fractions carry the rounding of a running sum.
+    """
+    visible(F.lit(0), closed)  # checks ``closed``
+    points = timestamps.select(F.col("timestamp").cast("long").alias("_time")).where("_time IS NOT NULL").distinct()
+    values = edges.select("valid_from", "valid_to", *[column.alias(name) for name, column in totals.items()])
+    holds = values.where("valid_from IS NULL OR valid_to IS NULL OR valid_from <= valid_to")
+    begins = holds.select(F.coalesce("valid_from", F.lit(-(1 << 63))).alias("_time"), F.lit(0).alias("_turn"), *totals)
+    # At an equal moment a window begins before the point and ends after it, or before it if its end is open.
+    ends = holds.where("valid_to IS NOT NULL").select(
+        F.col("valid_to").alias("_time"), F.lit(2 if closed == "both" else 0).alias("_turn"), *[(-F.col(n)).alias(n) for n in totals])
+    changes = begins.unionByName(ends).groupBy("_time", "_turn").agg(*[F.sum(n).alias(n) for n in totals])
+    asked = points.select("_time", F.lit(1).alias("_turn"), *[F.lit(0).alias(n) for n in totals])
+    summed = running_totals(changes.unionByName(asked), [], ["_time", "_turn"], {f"_run_of_{n}": F.coalesce(n, F.lit(0)) for n in totals})
+    return summed.where("_turn = 1").select(F.col("_time").alias("timestamp"), *[F.col(f"_run_of_{n}").alias(n) for n in totals])

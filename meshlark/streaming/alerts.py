@@ -7,15 +7,17 @@ table that a baseline can reach is read: buckets arrive in time order, so file s
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from meshlark.operators.anomaly import Baseline
-from meshlark.plans.lineage import store
-from meshlark.streaming.sinks import read_batches, write_batch
+from meshlark.plans.lineage import forget, store
+from meshlark.streaming.sinks import read_batches, run_available, write_batch
 
 COUNTS = T.StructType([
     T.StructField("entity_id", T.LongType()), T.StructField("is_node", T.BooleanType()),
@@ -46,6 +48,7 @@ def score_batches(path: str, rule: Baseline = Baseline()) -> Callable[[DataFrame
         starts = fresh.df.groupBy(*ENTITY).agg(F.min("bucket").alias("first_bucket"))
         write_batch(starts.join(known, ENTITY, "left_anti").select(*FIRSTS.fieldNames()), batch_id, f"{path}/firsts")
         if not fresh.rows:
+            forget(fresh)
             return
         firsts = read_batches(spark, f"{path}/firsts", FIRSTS, batch_id + 1).join(
             starts.select(*ENTITY), ENTITY, "left_semi")
@@ -55,6 +58,7 @@ def score_batches(path: str, rule: Baseline = Baseline()) -> Callable[[DataFrame
         rows = past.withColumn("fresh", F.lit(False)).unionByName(fresh.df.withColumn("fresh", F.lit(True)))
         write_batch(score_sparse(rows, firsts, rule).where("fresh and score >= threshold")
                     .select(*ENTITY, "bucket", "activity", "score"), batch_id, f"{path}/alerts")
+        forget(fresh)
 
     return each
 
@@ -79,3 +83,62 @@ ALERTS = T.StructType([*COUNTS.fields, T.StructField("score", T.DoubleType())])
 
 def read_alerts(spark, path: str) -> DataFrame:
     return read_batches(spark, f"{path}/alerts", ALERTS)
+
+
+# ---- the same with what a baseline needs in keyed state ---------------------------------------------------
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _Trailing(StatefulProcessor):
+    """Of each entity its first bucket and the buckets that later baselines can still reach: at most ``width``."""
+
+    def __init__(self, rule: Baseline):
+        self.rule = rule
+
+    def init(self, handle) -> None:
+        self.trail = handle.getValueState("trail", "first_bucket long, buckets array<long>, counts array<long>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        rule, found = self.rule, []
+        first, buckets, counts = self.trail.get() if self.trail.exists() else (None, [], [])
+        buckets, counts = list(buckets), list(counts)
+        fresh = sorted((int(b), int(n)) for part in rows for b, n in zip(part["bucket"], part["activity"]))
+        for bucket, activity in fresh:
+            first = bucket if first is None else first
+            reach = [n for b, n in zip(buckets, counts) if bucket - rule.width <= b < bucket]
+            n, total, squares = min(rule.width, bucket - first), sum(reach), sum(x * x for x in reach)
+            if n >= max(rule.least, 1):
+                spread = ((n * squares - total * total) / (n * (n - 1))) ** 0.5 if n > 1 else 0.0
+                score = (activity - total / n) / max(spread, rule.floor)
+                if score >= rule.threshold:
+                    found.append((key[0], key[1], bucket, activity, score))
+            held = [(b, x) for b, x in zip(buckets, counts) if b > bucket - rule.width] + [(bucket, activity)]
+            buckets, counts = [b for b, _ in held], [x for _, x in held]
+        self.trail.update((first, buckets, counts))
+        if found:
+            yield pd.DataFrame(found, columns=ALERTS.fieldNames())
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_alerts(counts: DataFrame, rule: Baseline = Baseline()) -> DataFrame:
+    """``entity_id, is_node, bucket, activity, score`` at or above the threshold, of a stream of ``closed_buckets``.
+
+    The state store keeps one row of bounded size for each entity; a batch reads those of its own entities and no
+    earlier batch. Needs the session's state store to be RocksDB (``ROCKS``); ``run_keyed`` sees to that.
+    """
+    return counts.groupBy(*ENTITY).transformWithStateInPandas(
+        statefulProcessor=_Trailing(rule), outputStructType=ALERTS, outputMode="Append", timeMode="None")
+
+
+def run_keyed(rows: DataFrame, checkpoint: str, path: str) -> None:
+    """``sinks.run_available`` into Parquet files at ``path``, with RocksDB as the state store of this query."""
+    conf, name = rows.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name)
+    conf.set(name, ROCKS)
+    try:
+        run_available(rows, checkpoint, path=path)
+    finally:
+        conf.set(name, before)

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from meshlark.graph import EDGE_SCHEMA, NODE_SCHEMA, PropertyGraph
 from meshlark.operators.flows import flows_to_edges, ip_nodes, packet_ips, packets_to_flows
 from meshlark.operators.maintenance import get_or_create
-from meshlark.plans.lineage import store
+from meshlark.plans.lineage import forget, store
+from meshlark.plans.ordered import dense_ids
 
 REGISTRY_SCHEMA = T.StructType([T.StructField("node_id", T.LongType()), T.StructField("ip", T.StringType())])
 BATCH = T.StructField("batch", T.LongType())
@@ -51,6 +52,41 @@ def register_ips(path: str) -> Callable[[DataFrame, int], None]:
     return each
 
 
+MARK_SCHEMA = T.StructType([T.StructField("next_id", T.LongType())])
+
+
+def first_addresses(packets: DataFrame) -> DataFrame:
+    """``ip`` of every address when it is first seen. What was seen lies in the state store, by address, so a batch costs
+    what its own addresses cost, however many are known."""
+    return packet_ips(packets).dropDuplicates(["ip"])
+
+
+def number_first_addresses(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for ``first_addresses``: the next ids in address order, for good.
+
+    A batch reads one number, where the batch before it ended, and no earlier ids; a repeated batch does the same.
+    """
+
+    def each(fresh: DataFrame, batch_id: int) -> None:
+        spark = fresh.sparkSession
+        marks = f"{path}/marks"
+        last = f"{marks}/batch={batch_id - 1}"
+        known = (spark.read.schema(MARK_SCHEMA).parquet(last) if exists(spark, last)
+                 else read_batches(spark, marks, MARK_SCHEMA, batch_id))
+        start = known.agg(F.max("next_id")).first()[0] or 0
+        numbered = store(dense_ids(fresh.select("ip"), "node_id", start, ["ip"]).select("node_id", "ip"))
+        write_batch(numbered.df, batch_id, f"{path}/ids")
+        write_batch(spark.createDataFrame([(start + numbered.rows,)], MARK_SCHEMA).coalesce(1), batch_id, marks)
+        forget(numbered)
+
+    return each
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """``node_id, ip`` that ``number_first_addresses`` has written so far."""
+    return read_batches(spark, f"{path}/ids", REGISTRY_SCHEMA)
+
+
 def graph_sink(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: packets to address nodes and flow edges under ``path``.
 
@@ -59,13 +95,15 @@ def graph_sink(path: str) -> Callable[[DataFrame, int], None]:
 
     def each(packets: DataFrame, batch_id: int) -> None:
         spark = packets.sparkSession
-        packets = store(packets).df
+        kept = store(packets)
+        packets = kept.df
         register_ips(f"{path}/registry")(packets, batch_id)
         fresh = spark.read.schema(REGISTRY_SCHEMA).parquet(f"{path}/registry/batch={batch_id}")
         write_batch(ip_nodes(fresh), batch_id, f"{path}/nodes")
         registry = read_batches(spark, f"{path}/registry", REGISTRY_SCHEMA, batch_id + 1)
         edges = flows_to_edges(packets_to_flows(packets), registry, batch_id * EDGE_IDS_PER_BATCH)
         write_batch(edges, batch_id, f"{path}/edges")
+        forget(kept)
 
     return each
 

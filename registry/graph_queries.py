@@ -424,6 +424,16 @@ def t09(spark, d):
         F.round(F.sum("weight"), 6).alias("weight")))
 
 
+@query("t09_sweep_totals", ctes(EDGES, "points AS (SELECT DISTINCT epoch_us(date_trunc('hour', ts))//1000 AS timestamp FROM events)") + f"""
+SELECT timestamp, count(edge_id) AS edges, round(coalesce(sum(weight), 0), 4) AS weight
+FROM points LEFT JOIN edges ON {VISIBLE.format(t='timestamp')} GROUP BY timestamp""")
+def t09t(spark, d):
+    """Every hour, by changes at window ends."""
+    hours = derived.table(spark, d, "events").select(utc_millis(F.date_trunc("hour", c("ts"))).alias("timestamp"))
+    found = temporal.sweep_totals(derived.activity_edges(spark, d), hours, {"edges": F.lit(1).cast("long"), "weight": c("weight")})
+    return found.withColumn("weight", F.round("weight", 4) + F.lit(0.0))
+
+
 # ---- pattern match --------------------------------------------------------------------------------------
 
 

@@ -61,8 +61,8 @@ def x02(spark, d):
 @query("x03_ip_registry", ctes(PACKETS, IPS) + "SELECT node_id, ip FROM ips")
 def x03(spark, d):
     folder = fresh_folder(spark)
-    sinks.run_available(stream_packets(spark, d), f"{folder}/state", sinks.register_ips(f"{folder}/registry"))
-    return sinks.read_batches(spark, f"{folder}/registry", sinks.REGISTRY_SCHEMA)
+    sinks.run_available(sinks.first_addresses(stream_packets(spark, d)), f"{folder}/state", sinks.number_first_addresses(folder))
+    return sinks.read_registry(spark, folder)
 
 
 @query("x04_graph_sink", flow_ctes(IPS) + """
@@ -81,7 +81,7 @@ def x04(spark, d):
 ALERT_RULE = anomaly.Baseline(bucket_ms=21_600_000, threshold=3.0)
 
 
-@query("x05_stream_alerts", f"""
+ALERTS_SQL = f"""
 WITH counts AS (SELECT user_id AS entity_id, epoch_us(ts) // {ALERT_RULE.bucket_ms * 1000} AS bucket, count(*) AS n
   FROM events GROUP BY ALL),
 mark AS (SELECT max(epoch_us(ts)) // 1000 - 3600000 AS ms FROM events),
@@ -92,7 +92,10 @@ framed AS (SELECT *, count(*) OVER w AS k, avg(activity) OVER w AS m, stddev_sam
   WINDOW w AS (PARTITION BY entity_id ORDER BY bucket ROWS BETWEEN {ALERT_RULE.width} PRECEDING AND 1 PRECEDING))
 SELECT entity_id, TRUE AS is_node, CAST(bucket AS BIGINT) AS bucket, activity, round((activity - m) / greatest(s, 1.0), 6) AS score
 FROM framed, mark WHERE k >= {ALERT_RULE.least} AND (activity - m) / greatest(s, 1.0) >= {ALERT_RULE.threshold}
-  AND (bucket + 1) * {ALERT_RULE.bucket_ms} <= mark.ms""")
+  AND (bucket + 1) * {ALERT_RULE.bucket_ms} <= mark.ms"""
+
+
+@query("x05_stream_alerts", ALERTS_SQL)
 def x05(spark, d):
     folder = fresh_folder(spark)
     events = derived.stream_events(spark, d).select(
@@ -102,3 +105,13 @@ def x05(spark, d):
     sinks.run_available(closed, f"{folder}/state", alerts.score_batches(folder, ALERT_RULE))
     return alerts.read_alerts(spark, folder).withColumn("score", F.round("score", 6))
 
+
+@query("x05_keyed_alerts", ALERTS_SQL)
+def x05k(spark, d):
+    """The trailing buckets of each entity in the state store."""
+    folder = fresh_folder(spark)
+    events = derived.stream_events(spark, d).select(
+        c("user_id").alias("entity_id"), F.lit(True).alias("is_node"), derived.utc_millis(c("ts")).alias("at_ms"))
+    found = alerts.keyed_alerts(alerts.closed_buckets(events, ALERT_RULE, "1 hour"), ALERT_RULE)
+    alerts.run_keyed(found, f"{folder}/state", f"{folder}/rows")
+    return spark.read.schema(alerts.ALERTS).parquet(f"{folder}/rows").withColumn("score", F.round("score", 6))

@@ -88,6 +88,33 @@ def test_alerts_equal_batch(spark, tmp_path):
     got = {(r.entity_id, r.bucket, round(r.score, 9)) for r in alerts.read_alerts(spark, out).collect()}
     assert got == want and want
     assert alerts.read_alerts(spark, str(tmp_path / "none")).count() == 0
+    # The same with keyed state, over the same four batches.
+    again = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    keyed = alerts.keyed_alerts(alerts.closed_buckets(again, rule, "1 hour"), rule)
+    alerts.run_keyed(keyed, str(tmp_path / "k"), str(tmp_path / "keyed"))
+    rows = spark.read.schema(alerts.ALERTS).parquet(str(tmp_path / "keyed")).collect()
+    assert {(r.entity_id, r.bucket, round(r.score, 9)) for r in rows} == want
+
+
+def test_registry_reads_no_earlier_batch(spark, tmp_path, monkeypatch):
+    """Ids are dense over all batches; a batch looks at its own new addresses and one number."""
+    folder, out = str(tmp_path / "packets"), str(tmp_path / "registry")
+    rows = packet_files(spark, folder, files=5)
+    reads = []
+    plain = sinks.read_batches
+    monkeypatch.setattr(sinks, "read_batches", lambda *a: reads.append(a[1:]) or plain(*a))
+    stream = sinks.first_addresses(stream_packets(spark, folder, files_per_batch=1))
+    sinks.run_available(stream, str(tmp_path / "c"), sinks.number_first_addresses(out))
+    assert len(reads) <= 1  # the first batch only, which finds no mark
+    known = {r.ip: r.node_id for r in sinks.read_registry(spark, out).collect()}
+    ips = {x for r in rows if r[0] == "IP" for x in r[1:3]}
+    assert set(known) == ips and sorted(known.values()) == list(range(len(ips)))
+    new = [sorted(i for i in ips if i in {x for r in part if r[0] == "IP" for x in r[1:3]}) for part in [rows[:24]]][0]
+    assert [known[i] for i in new] == list(range(len(new)))
+    # A repeated batch gives the same ids again.
+    second = plain(spark, f"{out}/ids", sinks.REGISTRY_SCHEMA, 1).select("ip")
+    sinks.number_first_addresses(out)(second, 0)
+    assert {r.ip: r.node_id for r in sinks.read_registry(spark, out).collect()} == known
 
 
 def test_run_totals_are_observed(spark, tmp_path):

@@ -54,6 +54,22 @@ def test_sweep_open_edges_and_one_point(spark):
     assert temporal.edges_over(graph.edges, points).count() == 2
 
 
+@pytest.mark.parametrize("closed", ["both", "left"])
+def test_sweep_totals_brute_force(spark, closed):
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, rnd.randrange(20)]), rnd.choice([None, rnd.randrange(20)]), float(rnd.randrange(9))) for _ in range(60)]
+    edges = spark.createDataFrame([*rows, rows[0], (3, 3, 1.0), (9, 2, 5.0)], "valid_from long, valid_to long, weight double")
+    points = spark.createDataFrame([(t,) for t in (-5, *range(0, 22, 3), 3, 100)] + [(None,)], "timestamp long")
+    got = temporal.sweep_totals(edges, points, {"n": F.lit(1), "w": F.col("weight")}, closed).collect()
+    assert sorted(r.timestamp for r in got) == [-5, *range(0, 22, 3), 100]
+    for r in got:
+        seen = [w for a, b, w in [*rows, rows[0], (3, 3, 1.0), (9, 2, 5.0)]
+                if (a is None or a <= r.timestamp) and (b is None or r.timestamp < b or closed == "both" and r.timestamp == b)
+                and (a is None or b is None or a <= b)]
+        assert (r.n, r.w) == (len(seen), sum(seen)), r
+    assert temporal.sweep_totals(edges, points.where("false"), {"n": F.lit(1)}).count() == 0
+
+
 def test_epoch_ms_ignores_session_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
