@@ -70,11 +70,13 @@ def as_edges(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class PropertyGraph:
-    """Nodes and edges; ``adjacency`` may hold the same edges in walking order (``sources.adjacency``)."""
+    """Nodes and edges; ``adjacency`` may hold the same edges in walking order (``sources.adjacency``), ``folders`` the
+    same nodes with the folders that each label lies in (``sources.tables``)."""
 
     nodes: DataFrame
     edges: DataFrame
     adjacency: object | None = None
+    folders: object | None = None
 
     @classmethod
     def of(cls, nodes: DataFrame, edges: DataFrame) -> PropertyGraph:
@@ -84,7 +86,7 @@ class PropertyGraph:
         return replace(self, edges=edges, adjacency=None)
 
     def with_nodes(self, nodes: DataFrame) -> PropertyGraph:
-        return replace(self, nodes=nodes)
+        return replace(self, nodes=nodes, folders=None)
 
     def with_typed_properties(self, node_types: dict[str, str] | None = None,
                               edge_types: dict[str, str] | None = None) -> PropertyGraph:

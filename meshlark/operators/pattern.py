@@ -36,6 +36,8 @@ def _flat(df: DataFrame, var: str) -> DataFrame:
 
 def _nodes(graph: PropertyGraph, node: Node) -> DataFrame:
     found = graph.nodes
+    if node.label is not None and graph.folders is not None:
+        found = graph.folders.holding(node.label)
     if node.label is not None:
         found = found.where(F.array_contains("labels", node.label))
     return found if node.where is None else found.where(node.where)

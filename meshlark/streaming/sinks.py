@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from meshlark.graph import EDGE_SCHEMA, NODE_SCHEMA, PropertyGraph
 from meshlark.operators.flows import flows_to_edges, ip_nodes, packet_ips, packets_to_flows
 from meshlark.operators.maintenance import get_or_create
-from meshlark.plans.lineage import forget, store
+from meshlark.plans.lineage import exists, forget, store
 from meshlark.plans.ordered import dense_ids
 
 REGISTRY_SCHEMA = T.StructType([T.StructField("node_id", T.LongType()), T.StructField("ip", T.StringType())])
@@ -23,11 +23,6 @@ def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """All batches of a table, or those before a batch id; an absent table is empty."""
     if not exists(spark, path):

@@ -154,13 +154,22 @@ def s10(spark, d):
     return parts.groupBy("l_returnflag").agg(F.sum("n").alias("n"))
 
 
-@query("s11_graph_tables", """
-SELECT 'CONTAINS' AS edge_type, count(*) AS n, sum(l_quantity) AS weight FROM lineitem""")
+@query("s11_graph_tables", f"""
+SELECT 'edges' AS kind, 'CONTAINS' AS name, count(*) AS n, round(sum(l_quantity), 2) AS weight FROM lineitem
+UNION ALL SELECT 'edges', 'SUPPLIED_BY', count(*), round(sum(l_extendedprice), 2) FROM lineitem
+UNION ALL SELECT 'edges', 'PLACED', count(*), round(sum(o_totalprice), 2) FROM orders
+UNION ALL SELECT 'edges', 'IN_REGION', count(*), count(*) FROM nation
+UNION ALL SELECT 'edges', 'LOCATED_IN', sum(n)::BIGINT, sum(n)::DOUBLE FROM (
+  SELECT count(*) AS n FROM customer UNION ALL SELECT count(*) FROM supplier)
+UNION ALL SELECT 'nodes', split_part(labels, ',', 1), count(*), sum(node_id)::DOUBLE FROM ({ALL_NODES}) GROUP BY ALL""")
 def s11(spark, d):
     path = f"{shared_folder(spark)}/graphs/{uuid.uuid4().hex}"
     tables.write_graph(derived.commerce_graph(spark, d), path)
-    edges = tables.read_graph(spark, path, edge_type="CONTAINS").edges
-    return edges.groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
+    back = tables.read_graph(spark, path)
+    edges = back.edges.groupBy(F.lit("edges").alias("kind"), c("edge_type").alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 2).alias("weight"))
+    return edges.unionByName(back.nodes.groupBy(F.lit("nodes").alias("kind"), c("labels")[0].alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("node_id").cast("double").alias("weight")))
 
 
 @query("s12_packet_source", ctes(base.PACKETS) + """
@@ -459,6 +468,15 @@ def q03(spark, d):
         "p.node_id", p("p", "c_acctbal", "double").alias("balance"))
 
 
+@query("q03_where_stored", "SELECT 30000000000 + c_custkey AS node_id, c_acctbal AS balance FROM customer WHERE c_acctbal > 2500")
+def q03s(spark, d):
+    """Over stored tables with typed properties: only the label's folders are read, and the condition reaches the scan."""
+    path = f"{shared_folder(spark)}/graphs/{uuid.uuid4().hex}"
+    tables.write_graph(derived.commerce_graph(spark, d).with_typed_properties({"c_acctbal": "double", "c_name": "string"}), path)
+    found = pattern.match(tables.read_graph(spark, path), [Node("p", "customer")])
+    return found.where(c("p.properties.c_acctbal") > 2500).select("p.node_id", c("p.properties.c_acctbal").alias("balance"))
+
+
 @query("q04_typed_hop", """
 SELECT 30000000000 + o_custkey AS a, 60000000000 + o_orderkey AS b FROM orders JOIN customer ON c_custkey = o_custkey""")
 def q04(spark, d):

@@ -65,6 +65,24 @@ def v02_all(spark, d):
         "query_id", "node_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query("v02_recall", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+leads AS (SELECT vec_id, v FROM e JOIN embeddings USING (vec_id) QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
+exact AS (SELECT a.vec_id AS query_id, b.vec_id AS node_id FROM leads a, e b
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.v, b.v), 12) DESC, b.vec_id) <= 10)
+SELECT count(*) AS exact_hits, TRUE AS recall_at_least_0_9 FROM exact""")
+def v02_recall(spark, d):
+    """Of the exact nearest ten of each lead, the share that 10 of 16 cells hold."""
+    rows = derived.table(spark, d, "embeddings")
+    nodes = rows.select(c("vec_id").alias("node_id"), c("embedding").cast("array<double>").alias("embedding"))
+    graph = derived.activity_graph(spark, d).with_nodes(nodes)
+    index = search.build_vector_index(graph, size=64, cells=16)
+    near = search.approx_search(index, base.label_leads(spark, d), 10, probes=10).select("query_id", "node_id", F.lit(1).alias("found"))
+    exact = search.vector_search(graph, base.label_leads(spark, d), 10).select("query_id", "node_id")
+    both = exact.join(near, ["query_id", "node_id"], "left")
+    return both.agg(F.count(F.lit(1)).alias("exact_hits"), (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("recall_at_least_0_9"))
+
+
 def requests(spark, d):
     return base.hub_vectors(spark, d).select(c("node_id").alias("request_id"), c("node_id").alias("anchor"), "vector")
 

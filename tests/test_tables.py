@@ -10,6 +10,7 @@ from tests.conftest import graph_of, ids_of
 from meshlark.graph import (GraphError, PropertyGraph, as_edges, check_alpha, check_at_least, check_direction,
                             dangling_edges, edge_faults, node_faults, require_clean)
 from meshlark.operators import maintenance
+from meshlark.operators.pattern import Node, match
 from meshlark.sources import export, frames, tables
 
 PEOPLE = [("Person", "Dave", 40.0, "Chicago"), ("Person", "Eve", 28.0, "Boston"), ("Person", "Frank", 55.0, "Denver")]
@@ -151,3 +152,22 @@ def test_results_and_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sum(found) == 95 and max(found) <= 10
+
+
+def test_match_over_stored_tables_prunes(spark, tmp_path):
+    kinds = "node_id long, labels array<string>, properties map<string,string>, embedding array<double>"
+    rows = [(1, ["A"], {"age": "30"}, None), (2, ["B", "A"], {"age": "50"}, None), (3, ["C"], {"age": "60"}, None),
+            (4, [], {}, None), (5, ["A", "C"], {}, None)]
+    plain = PropertyGraph(spark.createDataFrame(rows, kinds), graph_of(spark, [(1, 2)]).edges)
+    tables.write_graph(plain.with_typed_properties({"age": "int"}), str(tmp_path / "g"))
+    back = tables.read_graph(spark, str(tmp_path / "g"))
+    assert back.nodes.columns == plain.nodes.columns
+    for label in ("A", "B", "C", "nope"):
+        got = {r.n.node_id for r in match(back, [Node("n", label)]).collect()}
+        assert got == {i for i, labels, _, _ in rows if label in labels}
+    found = match(back, [Node("n", "A")]).where(F.col("n.properties.age") > 40).select("n.node_id")
+    assert [r.node_id for r in found.collect()] == [2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [primary_label#" in plan and "IN (" in plan
+    assert "GreaterThan(properties.age,40)" in plan and "ReadSchema: struct<node_id:bigint,labels:array<string>,properties:struct<age:int>>" in plan
+    assert match(back.with_nodes(plain.nodes), [Node("n", "C")]).count() == 2
