@@ -37,7 +37,7 @@ FAN_IN = 64
 #: Pairs in a zstd frame of a run.
 FRAME = 16_384
 #: Bytes of text in a block, and pieces that a Python worker remembers.
-BLOCK_BYTES, REMEMBERED, LONG_PIECE = 4_000_000, 150_000, 64
+BLOCK_BYTES, REMEMBERED, LONG_PIECE = 4_000_000, 250_000, 64
 _ID_BITS, _ROW_BITS = 20, 24
 _ANY_SPLIT = re.compile(r"\s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*\Z)?|\s+")
 _ODD_SPACE = re.compile(r"\s(?: |\Z)")
@@ -151,26 +151,52 @@ class Aligner:
     def learn(self, pieces: set[str]) -> None:
         """Align pieces, given without their first space, that are not known."""
         pieces = sorted(pieces)
-        for start in range(0, len(pieces), 5000):
-            part = pieces[start:start + 5000]
-            coded_a = [c.ids for c in self.a.encode_batch_fast([" " + p for p in part], add_special_tokens=False)]
-            coded_b = self.b.encode(part, num_threads=1)
-            if part[0] == "":  # the space that the second tokenizer adds stands for the piece's own; alone it is not added
-                coded_b[0] = [self.b.piece_to_id("▁")]
-            fits = [self._fits(" " + p, a, b) for p, a, b in zip(part, coded_a, coded_b)]
-            if not all(fits):
-                self.known.update((p, _MISFIT) for p, fit in zip(part, fits) if not fit)
-                part, coded_a, coded_b = [[x for x, fit in zip(line, fits) if fit] for line in (part, coded_a, coded_b)]
-            if part:
-                self.known.update(zip(part, self._aligned(coded_a, coded_b)))
-
-    def _aligned(self, coded_a: list[list[int]], coded_b: list[list[int]]) -> Iterator[tuple]:
+        joined = [p for p in pieces if p and not p[-1].isspace()]
+        for start in range(0, len(joined), 5000):
+            part = joined[start:start + 5000]
+            if not self._learn_joined(part):
+                self._learn_apart(part)
+        apart = [p for p in pieces if not p or p[-1].isspace()]
+        for start in range(0, len(apart), 5000):
+            self._learn_apart(apart[start:start + 5000])
+
+    def _learn_joined(self, part: list[str]) -> bool:
+        """Encode pieces that end in no white space as one text, in which both tokenizers cut between them; false if
+        the tokens of a side do not spell them."""
+        text = " ".join(part)
+        ends = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in part), np.int64, len(part)))
+        ids, numbers = [], []
+        for coded, spelled, sizes in ((self.a.encode(" " + text, add_special_tokens=False).ids, self.bytes_a, self.sizes_a),
+                                      (self.b.encode(text), self.bytes_b, self.sizes_b)):
+            if b"".join([spelled[i] for i in coded]) != b" " + text.encode():
+                return False
+            coded = np.array(coded)
+            stops = np.cumsum(sizes[coded])
+            last = np.searchsorted(stops, ends)
+            if not np.array_equal(stops[last], ends):
+                return False
+            ids.append(coded)
+            numbers.append(np.diff(last, prepend=-1))
+        self.known.update(zip(part, self._aligned(ids[0], numbers[0], ids[1], numbers[1])))
+        return True
+
+    def _learn_apart(self, part: list[str]) -> None:
+        coded_a = [c.ids for c in self.a.encode_batch_fast([" " + p for p in part], add_special_tokens=False)]
+        # The space that the second tokenizer adds stands for the piece's own; alone it is not added.
+        coded_b = [b if p else [self.b.piece_to_id("▁")] for p, b in zip(part, self.b.encode(part, num_threads=1))]
+        fits = [self._fits(" " + p, a, b) for p, a, b in zip(part, coded_a, coded_b)]
+        self.known.update((p, _MISFIT) for p, fit in zip(part, fits) if not fit)
+        part, coded_a, coded_b = [[x for x, fit in zip(line, fits) if fit] for line in (part, coded_a, coded_b)]
+        if part:
+            n_a, n_b = [np.fromiter(map(len, c), np.int64, len(c)) for c in (coded_a, coded_b)]
+            a, b = [np.fromiter(chain.from_iterable(c), np.int64, int(n.sum())) for c, n in ((coded_a, n_a), (coded_b, n_b))]
+            self.known.update(zip(part, self._aligned(a, n_a, b, n_b)))
+
+    def _aligned(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> Iterator[tuple]:
         """``groups, keys, times, (n_a, n_b, n_groups, n_links), fits`` of pieces whose tokens spell them.
 
         The pieces are one text here: at each piece's end tokens of both sides end.
         """
-        n_a, n_b = [np.fromiter(map(len, c), np.int64, len(c)) for c in (coded_a, coded_b)]
-        a, b = [np.fromiter(chain.from_iterable(c), np.int64, int(n.sum())) for c, n in ((coded_a, n_a), (coded_b, n_b))]
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
         piece = np.repeat(np.arange(len(n_a)), n_a)
         # Links: the b tokens from the one that covers a token's first byte to the one that covers its last.
@@ -180,8 +206,8 @@ class Aligner:
         keys = _pair_key(np.repeat(a, width), b[other])
         linked, times = np.unique(np.repeat(piece, width) << (2 * _ID_BITS) | keys, return_counts=True)
         links = np.bincount(np.repeat(piece, width), minlength=len(n_a))
-        at = np.searchsorted(linked >> (2 * _ID_BITS), np.arange(len(n_a) + 1)).tolist()
-        keys, times = (linked & ((1 << 2 * _ID_BITS) - 1)).astype(np.uint64), times.astype(np.uint64)
+        at = (8 * np.searchsorted(linked >> (2 * _ID_BITS), np.arange(len(n_a) + 1))).tolist()
+        keys, times = (linked & ((1 << 2 * _ID_BITS) - 1)).astype(np.uint64).tobytes(), times.astype(np.uint64).tobytes()
         # Groups: tokens by the common end that closes them, side a before side b, and what follows each.
         common_ends = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]
         group_a, group_b = np.searchsorted(common_ends, ends_a), np.searchsorted(common_ends, ends_b)
@@ -192,13 +218,13 @@ class Aligner:
         code = np.concatenate((4 * a + np.where(last_a, 1, 0), 4 * b + mark_b))[order]
         texts = "".join([f"{c >> 2}{_MARKS[c & 3]}" for c in code.tolist()]).split("\n")
         groups = np.bincount(piece, np.isin(ends_a, common_ends, assume_unique=True), len(n_a)).astype(np.int64)
-        numbers = np.stack((n_a, n_b, groups, links), 1)
+        numbers = np.stack((n_a, n_b, groups, links), 1).tolist()
         for n, (text, line) in enumerate(zip(texts, numbers)):
-            yield text, keys[at[n]:at[n + 1]].tobytes(), times[at[n]:at[n + 1]].tobytes(), line, True
+            yield text, keys[at[n]:at[n + 1]], times[at[n]:at[n + 1]], line, True
 
 
 _MARKS = (",", "|", ";", "\n")
-_MISFIT = ("", b"", b"", np.zeros(4, np.int64), False)
+_MISFIT = ("", b"", b"", [0, 0, 0, 0], False)
 
 
 def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -258,7 +284,8 @@ def _blocks(path_a: str, path_b: str, digest: bool):
         whole = [bool(len(x)) and bool(fits[x].all()) for x in at]
         numbers = np.array([e[3] for e in entries], np.int64).reshape(-1, 4)
         totals = np.array([numbers[x].sum(0) if w else (0, 0, 0, 0) for x, w in zip(at, whole)], np.int64).reshape(-1, 4)
-        groups = [";".join([entries[i][0] for i in x.tolist()]) if w else "" for x, w in zip(at, whole)]
+        spelled = [e[0] for e in entries]
+        groups = [";".join([spelled[i] for i in x.tolist()]) if w else "" for x, w in zip(at, whole)]
         if digest:
             groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
         yield _filled(len(texts), block=np.full(len(texts), number), doc_id=ids, place=np.arange(len(texts)), groups=groups,
