@@ -6,7 +6,9 @@ curve orders the documents. The token stream in that order is cut into sequences
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +26,27 @@ DIMENSIONS, BITS, BUCKETS = 3, 16, 4096
 REMEMBERED = 500_000
 #: Signs that the tokenizer takes as one word where they follow letters: all of ASCII but the apostrophe.
 _SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A word as letters (of Latin-1), signs after them, and what else it holds.
+_PARTS = re.compile(rb"((?:[a-zA-Z]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc2[\xaa\xb5\xba])*+)"
+                    rb"([" + re.escape(_SIGNS) + rb"]*+)([^ ]*+) ")
 PIECE_SCHEMA = ("doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long, "
                 "padded_length long, curve_key long")
 _PROJECTION = np.random.RandomState(11).standard_normal((BUCKETS, DIMENSIONS))
 
 
+class _Numbers(dict):
+    """Numbers of words; a word that is asked for and not known gets the next number and is listed in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordEncoder:
     """Token ids of whole texts, each distinct word encoded once.
 
@@ -42,9 +60,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids are kept in 16 bits: the tokenizer has more than 65,536")
         self.ends = np.zeros(1 << 16, bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        self.numbers = _Numbers()
+        self.ids: list[bytes] = []
 
     def _letters(self, words: list[str]) -> list[bytes]:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
@@ -58,45 +79,41 @@ class WordEncoder:
         coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(c.ids, "<u2").tobytes() for c in coded]
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not known."""
-        known = self.known
-        parts, letters, other = [], set(), set()
-        for word in words:
-            run = word.rstrip(_SIGNS)
-            text = run.decode()
-            if text.isalpha() and max(text) <= "\xff":
-                signs = word[len(run):]
-                if run not in known:
-                    letters.add(run)
-                if signs and signs not in known:
-                    other.add(signs)
-                parts.append((word, run, signs))
+    def _learn(self) -> None:
+        """Ids of the words that were given a number since the last call."""
+        numbers, ids, first = self.numbers, self.ids, len(self.ids)
+        letters, other, joined = [], [], []
+        found = _PARTS.findall(b" ".join(numbers.new) + b" ")
+        for number, (run, signs, rest) in enumerate(found, first):
+            if rest or not run:
+                other.append(number)
+            elif signs:
+                joined.append((number, numbers[run], numbers[signs]))
             else:
-                other.add(word)
-                parts.append((word, word, b""))
-        ids = {b"": b""}
-        for kind, encode in ((list(letters), self._letters), (list(other), self._any)):
+                letters.append(number)
+        for number in range(first + len(found), first + len(numbers.new)):  # runs and signs not met alone so far
+            (letters if numbers.new[number - first][-1] not in _SIGNS else other).append(number)
+        new = numbers.new
+        ids.extend([b""] * len(new))
+        for kind, encode in ((letters, self._letters), (other, self._any)):
             for start in range(0, len(kind), 5000):
                 part = kind[start:start + 5000]
-                ids.update(zip(part, encode([w.decode() for w in part])))
-
-        def of(piece: bytes) -> bytes:
-            found = ids.get(piece)
-            return known[piece] if found is None else found
-
-        return {word: of(run) + of(signs) for word, run, signs in parts}
+                for number, coded in zip(part, encode([new[n - first].decode() for n in part])):
+                    ids[number] = coded
+        for number, run, signs in joined:
+            ids[number] = ids[run] + ids[signs]
+        numbers.new = []
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        numbers, ids, first = self.numbers, self.ids, len(self.ids)
         # Strings such as <|endoftext|> are tokens in this spelling only.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        known = self.known
-        new = self._learn(set().union(*split).difference(known)) if split else {}
-        known.update(new)
-        coded = [np.frombuffer(b"".join([known[w] for w in ws]), "<u2") for ws in split]
-        if len(known) > REMEMBERED:  # the words seen first hold the frequent ones; these go
-            for word in new:
-                del known[word]
+        rows = [list(map(numbers.__getitem__, (t if b"<|" in t else t.lower()).split())) for t in texts]
+        self._learn()
+        coded = [np.frombuffer(b"".join(map(ids.__getitem__, row)), "<u2") for row in rows]
+        if len(ids) > REMEMBERED:  # the words seen first hold the frequent ones; these go
+            while len(numbers) > first:
+                numbers.popitem()
+            del ids[first:]
         return coded
 
 
@@ -153,7 +170,11 @@ def _tokenise(path: str, end_id: int):
             data, offsets = common.utf8(batch.column(1))
             for start, stop in common.slices(offsets, 1_000_000):
                 texts = [data[offsets[i]:offsets[i + 1]].tobytes() for i in range(start, stop)]
-                coded = encoder.encode(texts)
+                gc.disable()  # no cycles are made here; a collection would walk all words held
+                try:
+                    coded = encoder.encode(texts)
+                finally:
+                    gc.enable()
                 keys = curve_keys(coded)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + len(texts))), batch.column(0).slice(start, stop - start),
@@ -213,7 +234,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -
 
     ``doc_id, start, ids, doc_tokens, sequence_id, offset, padded_length, curve_key``. ``ids`` are little-endian
     unsigned 32-bit numbers. A document is its text's ids and then ``end_id``; null and empty texts are ``end_id``
-    alone. Documents follow each other along the curve (ties in input order), each id once, without gaps. Full
+    alone; the tokenizer has at most 65,536 ids. Documents follow each other along the curve (ties in input order), each id once, without gaps. Full
     sequences hold ``length`` ids; what remains at the end of the corpus becomes sequences whose lengths are powers
     of two, so ``padded_length`` is what a sequence holds. Repeated rows and null ids are packed like any others; an
     empty table has no pieces.
