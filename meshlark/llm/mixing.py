@@ -124,7 +124,9 @@ def mix(docs: DataFrame, source: str = "source", budget_share: float = 1.0, most
     narrow = placed(base.select("doc_id", f"`{source}`", "mix_tokens"))
     blocks = store(narrow.groupBy("_source", "mix_block").agg(
         F.sum("mix_tokens").alias("_held"), F.first("_tokens").alias("_tokens"), F.first("_budget").alias("_budget"))
-        .withColumn("_own", F.floor(F.col("_budget") * F.coalesce(F.try_divide("_held", "_tokens"), F.lit(0.0))).cast("long"))
+        # In integers: a budget of all tokens gives each block exactly what it holds.
+        .withColumn("_own", F.coalesce(F.expr("CAST(_budget AS DECIMAL(18,0)) * CAST(_held AS DECIMAL(18,0)) "
+                                              "DIV nullif(CAST(_tokens AS DECIMAL(18,0)), 0)"), F.lit(0).cast("long")))
         .select("_source", "mix_block", F.when(F.col("_held") > 0, F.floor(F.try_divide("_own", "_held"))).otherwise(1).alias("_whole"),
                 F.when(F.col("_held") > 0, F.expr("try_mod(_own, _held)")).otherwise(0).alias("_rest"))).df
     rows = narrow.join(blocks, ["_source", "mix_block"]).withColumn("_key", _key(seed, F.col("_whole")))

@@ -132,7 +132,7 @@ plan AS (SELECT s, t, CASE WHEN t > 0 THEN floor(total::DOUBLE * (pow(t / top, a
     greatest(ceil(t / 1000000.0::DOUBLE), 1)::BIGINT AS blocks FROM src, every, alpha, power),
 placed AS (SELECT d.*, t, budget, ('0x' || substr(md5('0:block:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % blocks AS block
   FROM d JOIN plan USING (s)),
-held AS (SELECT s, block, sum(tokens)::BIGINT AS h, floor(any_value(budget) * (sum(tokens)::DOUBLE / any_value(t)))::BIGINT AS own
+held AS (SELECT s, block, sum(tokens)::BIGINT AS h, (any_value(budget)::HUGEINT * sum(tokens)::HUGEINT // nullif(any_value(t)::HUGEINT, 0))::BIGINT AS own
   FROM placed GROUP BY s, block),
 parts AS (SELECT s, block, CASE WHEN h > 0 THEN own // h ELSE 1 END AS whole, CASE WHEN h > 0 THEN own % h ELSE 0 END AS rest
   FROM held),

@@ -3,6 +3,7 @@ tables and extra columns with clashing names."""
 
 import hashlib
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -410,12 +411,24 @@ def test_repeats_of_nothing(spark):
 
 
 def test_interval_tree_lists_maximal_groups():
+    """Every group with all its members, against all pairs: a pair's own stretch, and whoever else holds it."""
     from meshlark.llm.repeats import maximal_groups
 
-    groups = maximal_groups([b"xab", b"xac", b"yab"], [b"1234", b"1239", b"1234"], 4)
-    assert (1, 4, [0, 2]) not in groups  # "ab" before both: the longer one counts
-    assert sorted((left, right, sorted(m)) for left, right, m in groups) == [(2, 3, [0, 1])] or all(
-        left + right >= 4 for left, right, _ in groups)
+    rnd = random.Random(8)
+    for _ in range(40):
+        before = ["".join(rnd.choice("xy") for _ in range(rnd.randint(0, 6))).encode() for _ in range(9)]
+        after = [("a" + "".join(rnd.choice("bc") for _ in range(rnd.randint(0, 6)))).encode() for _ in range(9)]
+        want = set()
+        for i in range(9):
+            for j in range(i):
+                left = len(os.path.commonprefix([before[i], before[j]]))
+                right = len(os.path.commonprefix([after[i], after[j]]))
+                if left + right >= 4:
+                    members = tuple(m for m in range(9) if before[m][:left] == before[i][:left] and len(before[m]) >= left
+                                    and after[m][:right] == after[i][:right] and len(after[m]) >= right)
+                    want.add((left, right, members))
+        got = [(left, right, tuple(sorted(m))) for left, right, m in maximal_groups(before, after, 4)]
+        assert len(set(got)) == len(got) and set(got) == want
 
 
 # ---- 7 ------------------------------------------------------------------------------------------------
@@ -450,6 +463,19 @@ def test_mix(spark, empty):
     assert mix(empty).count() == 0
 
 
+def test_mix_of_one_source_reads_every_row_once(spark):
+    """A budget of all tokens is each block's own tokens, whatever the shares are in floating point."""
+    from pyspark.sql import functions as F
+
+    from meshlark.llm.mixing import mix
+
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("one").alias("source"),
+                                    F.lit("text").alias("text"))
+    got = mix(docs, tokens=F.col("doc_id") % 89 + 1, block_tokens=150)
+    assert got.count() == 3000 and got.select("doc_id").distinct().count() == 3000
+    assert got.select("mix_block").distinct().count() > 500
+
+
 # ---- 8 ------------------------------------------------------------------------------------------------
 
 
