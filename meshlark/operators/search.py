@@ -178,7 +178,8 @@ def vector_search(graph: PropertyGraph, queries: DataFrame, k: int = 10) -> Data
 
 @dataclass
 class VectorIndex:
-    """Node vectors laid out in folders by nearest centroid. Only vectors of one size are indexed."""
+    """Node vectors laid out in folders by their nearest centroids, one copy in each. Only vectors of one size are
+    indexed."""
 
     path: str
     centroids: np.ndarray
@@ -193,12 +194,14 @@ class VectorIndex:
 
 
 def build_vector_index(graph: PropertyGraph, size: int, cells: int = 16, path: str | None = None,
-                       seed: int = 7) -> VectorIndex:
-    """Cluster the unit vectors with k-means and write them by cell. The centroids are sent to all tasks."""
+                       seed: int = 7, copies: int = 2) -> VectorIndex:
+    """Cluster the unit vectors with k-means and write each to its ``copies`` nearest cells, so that a neighbour beyond
+    the border of a cell is found in the other one. The centroids are sent to all tasks."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     check_at_least("cells", cells, 1)
+    check_at_least("copies", copies, 1)
     unit = _vectors_of(graph.nodes).where(F.size("embedding") == size)
     length = vectors.norm(F.col("embedding"))
     unit = unit.withColumn("_length", length).where("_length > 0").select(
@@ -215,15 +218,21 @@ def build_vector_index(graph: PropertyGraph, size: int, cells: int = 16, path: s
         for batch in batches:
             if batch.num_rows:
                 flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-                cell = index.cells_of(flat.reshape(batch.num_rows, size), 1)[:, 0]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell, pa.int32())],
-                                                 names=["node_id", "embedding", "cell"])
+                cell = index.cells_of(flat.reshape(batch.num_rows, size), copies)
+                for near in cell.T:
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.int32())],
+                                                     names=["node_id", "embedding", "cell"])
 
     placed = points.mapInArrow(place, "node_id long, embedding array<double>, cell int")
     placed.write.partitionBy("cell").parquet(folder)
     return index
 
 
+def _once(hits: DataFrame) -> DataFrame:
+    """Hits of several copies of a node as one."""
+    return hits.groupBy("query_id", "node_id").agg(F.max("similarity").alias("similarity"))
+
+
 def approx_search(index: VectorIndex, queries: DataFrame, k: int = 10, probes: int = 4) -> DataFrame:
     """As ``vector_search``, reading only the ``probes`` cells nearest to each query; similarities are exact,
     a true neighbour in another cell may be missed.
@@ -255,15 +264,17 @@ def approx_search(index: VectorIndex, queries: DataFrame, k: int = 10, probes: i
         block = spark.sparkContext.broadcast(by_cell)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = _Running(k, 1.0)
+            best: dict[int, _Running] = {}  # by cell: a node is there once, and its copies take no other node's place
             for batch in batches:
                 cell = batch.column(2).to_numpy()
                 for c in np.unique(cell):
                     part = batch.filter(pa.array(cell == c))
-                    best.add(_unit_vectors(part.column(0), part.column(1)), block.value[int(c)])
-            yield best.batch()
+                    best.setdefault(int(c), _Running(k, 1.0)).add(
+                        _unit_vectors(part.column(0), part.column(1)), block.value[int(c)])
+            for own in best.values():
+                yield own.batch()
 
-        return _ranked(nodes.mapInArrow(scan, HITS), k)
+        return _ranked(_once(nodes.mapInArrow(scan, HITS)), k)
     counts = nodes.groupBy("cell").count()
     chunks = counts.select("cell", F.ceil(F.col("count") * (index.size * 8 + 8) / CELL_BYTES).cast("int").alias("chunks"))
     blocks = max(1, -(-size // QUERY_BLOCK_BYTES))
@@ -273,7 +284,7 @@ def approx_search(index: VectorIndex, queries: DataFrame, k: int = 10, probes: i
             .withColumn("block", every(F.lit(blocks))).drop("chunks"))
     right = (probed.join(F.broadcast(chunks), "cell").withColumn("chunk", every(F.col("chunks")))
              .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).drop("chunks"))
-    return _ranked(_compare_groups(left, right, ["cell", "chunk", "block"], k, 1.0), k)
+    return _ranked(_once(_compare_groups(left, right, ["cell", "chunk", "block"], k, 1.0)), k)
 
 
 # ---- hybrid ranking -------------------------------------------------------------------------------------

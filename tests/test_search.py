@@ -85,6 +85,12 @@ def test_approximate_search(spark, large, monkeypatch):
     assert len(some & want) / len(want) > 0.6
 
 
+def test_recall_reaches_nine_tenths_at_sf_0_01(spark):
+    from registry.search_queries import v02_recall
+
+    assert [tuple(r) for r in v02_recall(spark, "/root/testdata/sf0.01").collect()] == [(100, True)]
+
+
 def test_hybrid_brute_force(spark):
     rnd = random.Random(4)
     emb = {i: [rnd.gauss(0, 1) for _ in range(3)] for i in range(20) if i % 5}
