@@ -357,6 +357,22 @@ def test_scores_against_a_brute_force_tree(spark, monkeypatch, head):
         assert abs(r.score - want[r.doc_id]) < 1e-6 * max(1, abs(want[r.doc_id]))
 
 
+def test_scoring_keeps_no_table_but_the_values(spark, docs):
+    """Levels, counts and filters were left on disk while the texts were scored."""
+    from pathlib import Path
+
+    from meshlark.llm.suffix_tree_lm import score_texts
+    from meshlark.plans.lineage import shared_folder
+
+    def tables():
+        folder = Path(shared_folder(spark).removeprefix("file:")) / "tables" / spark.sparkContext.applicationId
+        return {p.relative_to(folder).parts[0] for p in folder.rglob("*.parquet")}
+
+    before = tables()
+    assert score_texts(docs, F.col("doc_id") % 7 == 2).count() == docs.count()
+    assert len(tables() - before) == 1
+
+
 # ---- 6 ------------------------------------------------------------------------------------------------
 
 
