@@ -626,3 +626,16 @@ def test_components(spark):
     assert {(r.node, r.root) for r in got} == {(n, r) for n, r in root.items() if any(n in e and e[0] != e[1] for e in edges)}
     assert len(got) == len({r.node for r in got})
     assert zlib.crc32(b"0") >= 0
+
+
+# ---- modules ------------------------------------------------------------------------------------------
+
+
+def test_every_module_finds_what_it_imports():
+    import importlib
+    import pkgutil
+
+    import meshlark
+
+    for module in pkgutil.walk_packages(meshlark.__path__, "meshlark."):
+        importlib.import_module(module.name)
