@@ -658,3 +658,37 @@ def test_kernels_hold_little_more_than_a_slice():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows and peak < 50e6
+
+
+def test_tree_query_hands_few_rows_to_python(spark):
+    """10,000 texts or packed parts at a time are tens of megabytes, held by the JVM and by Python."""
+    from meshlark.llm.queries import QUERIES
+    from tests.conftest import DATA
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        found = QUERIES["op5_suffix_tree_lm"](spark, DATA)
+        assert int(spark.conf.get(name)) <= 500
+        assert found.count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_asked_strings_are_packed_without_loss():
+    """They took 16 bytes each, with the byte that their part tells and the number of their task."""
+    from meshlark.llm import suffix_tree_lm as lm
+
+    rnd = np.random.default_rng(5)
+    for bits in (8, 13):
+        gram, text = rnd.integers(0, 2**64, 5000, np.uint64), np.sort(rnd.integers(0, 2**32, 5000, np.uint64)).astype(np.uint32)
+        text[:9] = [7, 3, 2**32 - 1, 0, 5, 5, 4, 1, 9]
+        dealer = lm._Dealer(bits)
+        dealer.add(0, 0, lm._ASKED, gram, np.full(5000, 70_001, np.uint32), text)
+        got, packed = [], 0
+        for batch in dealer.out():
+            for part, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                packed += len(raw)
+                got += zip(*(c.tolist() for c in lm._asked([raw], part, bits)))
+        assert Counter(got) == Counter(zip(gram.tolist(), (text.astype(np.uint64) | np.uint64(70_001 << 32)).tolist()))
+        assert packed < 16 * 5000
