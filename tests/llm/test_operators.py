@@ -692,3 +692,66 @@ def test_asked_strings_are_packed_without_loss():
                 got += zip(*(c.tolist() for c in lm._asked([raw], part, bits)))
         assert Counter(got) == Counter(zip(gram.tolist(), (text.astype(np.uint64) | np.uint64(70_001 << 32)).tolist()))
         assert packed < 16 * 5000
+
+
+def test_tree_query_hands_few_bytes_to_python(spark):
+    """500 packed parts at a time were up to 50 MB, held by the JVM and by Python."""
+    from meshlark.llm.queries import QUERIES
+    from tests.conftest import DATA
+
+    names = [f"spark.sql.execution.arrow.{x}PerBatch" for x in ("maxBytes", "maxRecords")]
+    before = [spark.conf.get(name) for name in names]
+    try:
+        spark.conf.set(names[0], str(1 << 28))
+        QUERIES["op5_suffix_tree_lm"](spark, DATA)
+        assert int(spark.conf.get(names[0])) <= 4_000_000
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
+def test_small_inputs_have_few_parts(spark, docs, monkeypatch):
+    """Each task made a row for each of 256 parts, however few strings there were."""
+    from meshlark.llm import suffix_tree_lm as lm
+
+    seen, level = [], lm._level
+    monkeypatch.setattr(lm, "_level", lambda pairs, shorter, bits, gain: seen.append(bits) or level(pairs, shorter, bits, gain))
+    found = lm.score_texts(docs, F.lit(False)).collect()
+    assert len(found) == docs.count() and seen and max(seen) <= 6
+
+
+@pytest.mark.parametrize("bits", [3, 6, 8, 13])
+def test_asked_strings_of_few_parts_keep_their_first_byte(bits):
+    """A part of fewer than 8 bits does not tell the first byte."""
+    from meshlark.llm import suffix_tree_lm as lm
+
+    rnd = np.random.default_rng(6)
+    gram, text = rnd.integers(0, 2**64, 3000, np.uint64), np.arange(3000, dtype=np.uint32)
+    dealer = lm._Dealer(bits)
+    dealer.add(0, 0, lm._ASKED, gram, np.full(3000, 9, np.uint32), text)
+    got = {}
+    for batch in dealer.out():
+        for part, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            found, row = lm._asked([raw], part, bits)
+            assert (found >> np.uint64(64 - bits) == part).all()
+            got |= dict(zip((row & np.uint64(2**32 - 1)).tolist(), found.tolist()))
+    assert got == dict(enumerate(gram.tolist()))
+
+
+@pytest.mark.parametrize("shared", [0, 8, 13])
+@pytest.mark.parametrize("size", [0, 1, 2, 5000])
+def test_strings_are_found_by_their_first_bits(size, shared):
+    """Binary search over a million strings took two thirds of the time of scoring."""
+    from meshlark.llm.suffix_tree_lm import _Index
+
+    rnd = np.random.default_rng(size)
+    low = np.uint64(64 - shared) if shared else None
+    grams = np.unique(np.append(rnd.integers(0, 2**64, size, np.uint64), rnd.integers(0, 300, size, np.uint64)))
+    wanted = np.concatenate((grams, grams + np.uint64(1), rnd.integers(0, 2**64, 4000, np.uint64), np.array([0, 2**64 - 1], np.uint64)))
+    if shared:  # all of one part
+        own = np.uint64(5) << low
+        grams = np.unique(grams & ((np.uint64(1) << low) - np.uint64(1)) | own)
+        wanted = wanted & ((np.uint64(1) << low) - np.uint64(1)) | own
+    hit, at = _Index(grams, shared).find(wanted)
+    assert (hit == np.isin(wanted, grams)).all()
+    assert (grams[at[hit]] == wanted[hit]).all()
