@@ -755,3 +755,28 @@ def test_strings_are_found_by_their_first_bits(size, shared):
     hit, at = _Index(grams, shared).find(wanted)
     assert (hit == np.isin(wanted, grams)).all()
     assert (grams[at[hit]] == wanted[hit]).all()
+
+
+@pytest.mark.parametrize("shared", [70, 110, 130, 260])
+def test_crowded_grams_do_not_make_a_row_for_each_string(spark, monkeypatch, shared):
+    """Each of the surroundings of a gram of very many kinds became a row for each string it holds."""
+    from meshlark.llm import repeats
+
+    made, store = [], repeats.store
+    monkeypatch.setattr(repeats, "LARGE_GROUP", 20)
+    monkeypatch.setattr(repeats, "store", lambda df, **k: made.append((df.columns, r := store(df, **k))) or r)
+    rnd = random.Random(shared)
+    letters = "".join(rnd.choices("abcdefgh é", k=400))
+    common_part = letters[:shared]
+    texts = [None, "", letters]
+    for i in range(60):
+        before, after = ("".join(rnd.choices("abcdefgh é", k=120)) for _ in range(2))
+        # Half of the texts go on alike after the part, a third of them have the same text before it.
+        texts.append((letters[300:380] if i % 3 == 0 else before) + common_part + (letters[shared:shared + 9 + i] if i % 2 else after))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = repeats.remove_repeats(df, 100).collect()
+    plain = [(d, (t or "").encode()) for d, t in enumerate(texts)]
+    assert Counter((r.doc_id, r.n_bytes, tuple((s.start, s.stop) for s in r.spans), bytes(r.kept)) for r in got) == covered(plain, 100)
+    around = sum(r.rows for columns, r in made if columns == ["gram", "around", "n", "before", "bytes"])
+    rounds = [r.rows for columns, r in made if "string" in columns or columns[2:4] == ["core", "kind"]]
+    assert max(rounds) > 20 and max(rounds) <= 2 * around
