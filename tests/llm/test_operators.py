@@ -182,6 +182,34 @@ def test_encoder_agrees_with_the_tokenizer():
     assert [list(g) for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+@pytest.mark.parametrize("remembered, bits", [(500_000, 21), (40, 6), (0, 4)])
+def test_encoder_looks_words_up_by_their_bytes(monkeypatch, remembered, bits):
+    """Two lookups in dictionaries for each word took most of the time that the tokenizer did not."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from meshlark.llm import packing
+
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    monkeypatch.setattr(packing, "PLACE_BITS", bits)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, encoder, rnd = Tokenizer.from_file(path), packing.WordEncoder(path), random.Random(8)
+    kinds = ["".join(rnd.choices("abcdeé", k=rnd.choice([1, 2, 7, 8, 9, 15, 16, 17, 30]))) for _ in range(150)]
+    kinds += [k + s for k in kinds[:60] for s in (",", "...", "!!x", "'s")] + ["<|endoftext|>", "<|", "x\x00", "x\x00\x00", "x"]
+    kinds += [k.upper() for k in kinds[:20]]
+    for _ in range(4):
+        texts = ["".join(rnd.choice(kinds) + rnd.choice(" \t\n") for _ in range(rnd.randrange(60))).rstrip() for _ in range(30)]
+        texts += ["", "a <", "|endoftext|> B", "<|endoftext|>A<|ENDOFTEXT|>", " "]
+        got = encoder.encode([t.encode() for t in texts])
+        assert [list(g) for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.starts) - 1 == len(encoder.keys[0]) <= max(remembered, 0)
+    learned, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: learned.extend(words) or learn(words))
+    again = encoder.encode([t.encode() for t in texts])
+    assert [list(g) for g in again] == [list(g) for g in got]
+    assert not learned if remembered > 1000 else learned
+
+
 def test_hilbert_neighbours():
     from meshlark.llm.packing import hilbert_key
 
