@@ -808,3 +808,18 @@ def test_crowded_grams_do_not_make_a_row_for_each_string(spark, monkeypatch, sha
     around = sum(r.rows for columns, r in made if columns == ["gram", "around", "n", "before", "bytes"])
     rounds = [r.rows for columns, r in made if "string" in columns or columns[2:4] == ["core", "kind"]]
     assert max(rounds) > 20 and max(rounds) <= 2 * around
+
+
+def test_pipeline_hands_few_bytes_to_python(spark):
+    """2,000 packed rows of a join at a time are tens of megabytes, held by the JVM and by Python."""
+    import corpus_pipeline
+
+    names = [f"spark.sql.execution.arrow.{x}PerBatch" for x in ("maxBytes", "maxRecords")]
+    before = [spark.conf.get(name) for name in names]
+    try:
+        spark.conf.set(names[0], str(1 << 28))
+        corpus_pipeline._bounded(spark)
+        assert int(spark.conf.get(names[0])) <= 4_000_000
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
