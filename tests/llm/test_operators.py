@@ -823,3 +823,22 @@ def test_pipeline_hands_few_bytes_to_python(spark):
     finally:
         for name, value in zip(names, before):
             spark.conf.set(name, value)
+
+
+def test_packing_query_holds_few_rows_at_a_time(spark):
+    """10,000 texts to Python and 4,096 from a file at a time made the JVM's heap grow to 1.4 GB and more."""
+    from meshlark.llm.queries import QUERIES
+    from tests.conftest import DATA
+
+    limits = {"spark.sql.execution.arrow.maxBytesPerBatch": (1 << 28, 1_000_000), "spark.sql.execution.arrow.maxRecordsPerBatch": (10_000, 1000),
+              "spark.sql.parquet.columnarReaderBatchSize": (4096, 256)}
+    before = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, (usual, _) in limits.items():
+            spark.conf.set(name, str(usual))
+        pieces = QUERIES["op2_packing"](spark, DATA)
+        assert all(int(spark.conf.get(name)) <= most for name, (_, most) in limits.items())
+        assert pieces.select("doc_id").distinct().count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
