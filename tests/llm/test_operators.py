@@ -124,6 +124,55 @@ def test_jaccard_links_of_nothing(empty):
     assert jaccard_links(empty).count() == 0 and one_of_each(empty).count() == 0
 
 
+def test_jaccard_tables_stay_smaller_than_near_copies(spark, monkeypatch):
+    """Where all texts have near copies, every text is compared: what is written for that is no more than the texts."""
+    import os
+
+    from meshlark.llm import jaccard_join
+
+    rnd = random.Random(8)
+    rows = []
+    for i in range(120):
+        words = [rnd.choice("abcdefgh") + rnd.choice("aeiou") + rnd.choice("stvw") for _ in range(300)]
+        rows += [(10 * i + k, " ".join([*words, f"copy{k}"])) for k in range(5)]
+    written, plain = [], jaccard_join.store
+
+    def watched(df, **measures):
+        made = plain(df, **measures)
+        written.append(sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(made.path) for f in names if f.endswith(".parquet")))
+        return made
+
+    monkeypatch.setattr(jaccard_join, "store", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = jaccard_join.jaccard_links(docs).collect()
+    assert len(got) == len(rows) and all(r.n_links == 4 and r.class_id == r.doc_id - r.doc_id % 10 for r in got)
+    assert max(written) < sum(len(t) for _, t in rows)
+
+
+def test_shingles_are_dealt_in_few_bytes():
+    import pyarrow as pa
+
+    from meshlark.llm.jaccard_join import _dealt
+
+    rnd = random.Random(5)
+    texts = [prose(rnd, 300) for _ in range(300)]
+    n = sum(len(shingles(t)) for t in texts)
+    dealt = list(_dealt(5, None)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])))
+    assert sum(len(raw) for b in dealt for raw in b.column(1).to_pylist()) <= 6 * n
+
+
+def test_pairs_of_blocks_in_rounds(docs, monkeypatch):
+    """A text of a group of many blocks is a row for each; a round has few of them, and all rounds have all pairs."""
+    from meshlark.llm import jaccard_join
+
+    assert [jaccard_join._rounds(*x) for x in ((None, None), (None, 9), (9, 9), (10, 9), (900, 10))] == [1, 1, 1, 2, 90]
+    want = Counter(tuple(r) for r in jaccard_join.jaccard_links(docs).collect())
+    monkeypatch.setattr(jaccard_join, "BLOCK_TEXTS", 2)
+    taken = []
+    monkeypatch.setattr(jaccard_join, "_rounds", lambda *x: taken.append(x) or 3)
+    assert Counter(tuple(r) for r in jaccard_join.jaccard_links(docs).collect()) == want and taken[0][0] > 0
+
+
 def test_pruning_table():
     from meshlark.llm.jaccard_join import HASHES, STEP, least_matches
 
