@@ -5,17 +5,27 @@ Vertices are rows ``id``; ids may be numbers or texts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshlark.graph import GraphError, PropertyGraph, check_at_least
-from meshlark.operators.traverse import bfs, links_of, relax, shortest_path
-from meshlark.plans.lineage import forget, store
+from meshlark.operators.traverse import Links, bfs, links_of, relax, shortest_path
+from meshlark.plans.lineage import Stored, forget, scratch, store
 from meshlark.plans.skew import laid_out
 
 c = F.col
 #: Relative difference of path lengths below which they count as equal.
 TIE = 1e-12
+#: Betweenness sends the links that paths can take after their first one to all tasks, up to so many links and vertices;
+#: beyond, paths are rows of tables, for so many pairs of a source and a link at a time.
+CORE_LINKS, TABLE_PAIRS = 1_000_000, 200_000_000
+#: Pairs of a source and a link that a task handles at a time.
+TASK_PAIRS = 1_000_000
 
 
 def _ends(edges: DataFrame, *keep: str) -> DataFrame:
@@ -131,16 +141,164 @@ def betweenness(edges: DataFrame, vertices: DataFrame, normalized: bool = True,
     """``id, betweenness`` on directed edges; weights are lengths and must be above 0. Lengths that differ by less
     than ``TIE``, relatively, are equal.
 
-    Exact: state per (source, vertex). Path counts run forward and dependencies backward over the links that
-    lie on a shortest path, one round per hop. ``pivots(id)`` restricts the sources for an estimate, scaled up
-    to all vertices.
+    Exact. After its first link a path only meets vertices that some link enters, so the links between those, the core,
+    decide all distances. If they are few, they are sent to all tasks, which follow the paths of some sources at a
+    time and pass on nothing but sums by vertex. Otherwise paths are rows of tables, for a part of the sources at a
+    time. ``pivots(id)`` restricts the sources for an estimate, scaled up to all vertices.
     """
-    links = links_of(edges.withColumn("weight", c("weight").cast("double")))
-    if links.smallest_weight is not None and links.smallest_weight <= 0:
-        raise GraphError("betweenness needs weights above 0")
     ids = store(vertices.select("id").distinct())
     sources = ids.df if pivots is None else ids.df.join(pivots.select("id").distinct(), "id", "left_semi")
     n_sources = sources.count()
+    links = store(edges.where(c("src") != c("dst")).groupBy("src", "dst").agg(F.min(c("weight").cast("double")).alias("weight"))
+                  .where("weight IS NOT NULL"), smallest=F.min("weight"))
+    if links.measures["smallest"] is not None and links.measures["smallest"] <= 0:
+        raise GraphError("betweenness needs weights above 0")
+    inner = store(links.df.select(c("dst").alias("id")).distinct())
+    core = store(links.df.join(inner.df.withColumnRenamed("id", "src"), "src", "left_semi"))
+    if max(core.rows, inner.rows) <= CORE_LINKS:
+        summed = _followed(links, inner, core, sources)
+    else:
+        summed = _by_tables(links_of(links.df), sources, max(1, -(-n_sources * core.rows // TABLE_PAIRS)))
+    n = ids.rows
+    scale = 1.0 if not normalized else (1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0)
+    if pivots is not None and n_sources:
+        scale *= n / n_sources
+    return ids.df.join(summed, "id", "left").select(
+        "id", (F.coalesce("betweenness", F.lit(0.0)) * scale).alias("betweenness"))
+
+
+def _followed(links: Stored, inner: Stored, core: Stored, sources: DataFrame) -> DataFrame:
+    """``id, betweenness``: sums over the sources, by tasks that hold the core."""
+    spark = links.df.sparkSession
+    names = inner.df.toArrow().sort_by("id")
+    numbers = pa.table({"id": names["id"], "at": pa.array(np.arange(names.num_rows, dtype=np.int32))})
+    index = store(spark.createDataFrame(numbers)).df
+    number = lambda name, to: index.select(c("id").alias(name), c("at").alias(to))
+    arrows = core.df.join(number("src", "a"), "src").join(number("dst", "b"), "dst").select("a", "b", "weight").toArrow()
+    shared = spark.sparkContext.broadcast(_Core(
+        names.num_rows, *(arrows[n].to_numpy() for n in ("a", "b", "weight"))))
+    origin = sources.withColumnRenamed("id", "origin")
+    # A source in the core starts there, at 0; any other one at the ends of its links.
+    starts = number("origin", "at").join(origin, "origin", "left_semi").select("origin", "at", F.lit(0.0).alias("cost")).unionByName(
+        links.df.withColumnRenamed("src", "origin").join(number("origin", "_"), "origin", "left_anti")
+        .join(origin, "origin", "left_semi").join(number("dst", "at"), "dst").select("origin", "at", c("weight").alias("cost")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held, score = shared.value, None, np.zeros(shared.value.size)
+        most = TASK_PAIRS // 8
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            if held.num_rows >= most:
+                begins = _begins(held["origin"])
+                if len(begins) > 1:  # the last source may go on
+                    own.add(held.slice(0, begins[-1]), begins[:-1], score)
+                    held = held.slice(begins[-1]).combine_chunks()
+                most = max(TASK_PAIRS // 8, 2 * held.num_rows)
+        if held is not None and held.num_rows:
+            own.add(held, _begins(held["origin"]), score)
+        at = np.flatnonzero(score)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(score[at])], ["at", "part"])
+
+    sums = starts.repartition(parts, "origin").sortWithinPartitions("origin").mapInArrow(follow, "at int, part double")
+    return store(sums.groupBy("at").agg(F.sum("part").alias("betweenness")).join(index, "at").select("id", "betweenness")).df
+
+
+def _begins(origin: pa.ChunkedArray) -> np.ndarray:
+    """Rows at which another source begins."""
+    new = pc.not_equal(origin.slice(1), origin.slice(0, len(origin) - 1)).to_numpy()
+    return np.append(0, np.flatnonzero(new) + 1)
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``first[0], first[0] + 1, ...``, ``size[0]`` numbers, then those of the next."""
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+class _Core:
+    """The links that paths can take after their first one, by the vertex they leave; vertices are numbers below ``size``."""
+
+    def __init__(self, size: int, src: np.ndarray, dst: np.ndarray, weight: np.ndarray):
+        order = np.argsort(src, kind="stable")
+        self.size, self.dst, self.weight = size, dst[order].astype(np.int64), weight[order]
+        self.degree = np.bincount(src, minlength=size)
+        self.first = np.cumsum(self.degree) - self.degree
+
+    def add(self, starts: pa.Table, begins: np.ndarray, score: np.ndarray) -> None:
+        """Add what vertices owe to the sources that begin at the rows ``begins`` of ``starts``."""
+        at, cost = starts["at"].to_numpy().astype(np.int64), starts["cost"].to_numpy()
+        step = max(1, TASK_PAIRS // max(len(self.dst), self.size, 1))
+        ends = np.append(begins, starts.num_rows)
+        dist = np.full(step * self.size, np.inf)
+        for k in range(0, len(begins), step):
+            some = ends[k:k + step + 1]
+            place = np.repeat(np.arange(len(some) - 1), np.diff(some)) * self.size + at[some[0]:some[-1]]
+            self._follow(place, cost[some[0]:some[-1]], dist, score)
+
+    def _steps(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The links that leave places (source * ``size`` + vertex): which place, where to, and how long."""
+        vertex = place % self.size
+        link = _ranges(self.first[vertex], self.degree[vertex])
+        near = np.repeat(np.arange(len(place)), self.degree[vertex])
+        return near, (place - vertex)[near] + self.dst[link], self.weight[link]
+
+    def _follow(self, place: np.ndarray, cost: np.ndarray, dist: np.ndarray, score: np.ndarray) -> None:
+        np.minimum.at(dist, place, cost)
+        now = np.unique(place)
+        seen = [now]
+        while len(now):
+            near, far, weight = self._steps(now)
+            offer = dist[now][near] + weight
+            less = offer < dist[far]
+            far, offer = far[less], offer[less]
+            np.minimum.at(dist, far, offer)
+            now = np.unique(far[offer == dist[far]])
+            seen.append(now)
+        all_ = np.unique(np.concatenate(seen))
+        lengths = dist[all_]
+        start = place[np.abs(cost - dist[place]) <= TIE * dist[place]]
+        near, far, weight = self._steps(all_)
+        ends = dist[far]
+        on_path = np.abs(lengths[near] + weight - ends) <= TIE * ends
+        near, far = near[on_path], np.searchsorted(all_, far[on_path])
+        dist[all_] = np.inf
+        size = np.bincount(near, minlength=len(all_))
+        first, left = np.cumsum(size) - size, np.bincount(far, minlength=len(all_))
+        paths = np.bincount(np.searchsorted(all_, start), minlength=len(all_)).astype(float)
+        now, rounds = np.flatnonzero(left == 0), []
+        while len(now):  # places whose paths are all counted
+            links = _ranges(first[now], size[now])
+            if not len(links):
+                break
+            rounds.append(links)
+            ahead = far[links]
+            np.add.at(paths, ahead, paths[near[links]])
+            np.subtract.at(left, ahead, 1)
+            now = np.unique(ahead[left[ahead] == 0])
+        owed = np.zeros(len(all_))
+        for links in reversed(rounds):
+            a, b = near[links], far[links]
+            np.add.at(owed, a, paths[a] / paths[b] * (1 + owed[b]))
+        owed[lengths == 0] = 0  # the source itself
+        score += np.bincount(all_ % self.size, owed, len(score))
+
+
+def _by_tables(links: Links, sources: DataFrame, blocks: int) -> DataFrame:
+    """``id, betweenness``: state per (source, vertex), for one of ``blocks`` parts of the sources after the other; what a
+    part has written goes when its sums are there. Path counts run forward and dependencies backward over the links
+    that lie on a shortest path, one round per hop."""
+    sums = []
+    for k in range(blocks):
+        with scratch() as written:
+            own = store(sources.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k)).df
+            sums.append(store(_table_sums(links, own)))
+            written.pop()
+    return sources.sparkSession.read.schema(sums[0].df.schema).parquet(*[s.path for s in sums]).groupBy("id").agg(
+        F.sum("betweenness").alias("betweenness"))
+
+
+def _table_sums(links: Links, sources: DataFrame) -> DataFrame:
     cost = relax(links, sources.withColumnRenamed("id", "origin"), hops=False)
     ahead = cost.select("origin", c("node_id").alias("dst"), c("cost").alias("cost_dst"))
     on_path = store(links.step(cost).join(ahead, ["origin", "dst"])
@@ -154,14 +312,8 @@ def betweenness(edges: DataFrame, vertices: DataFrame, normalized: bool = True,
         "origin", "node_id", "dst", (c("paths") / c("paths_dst")).alias("part"))).df
     ones = cost.select("origin", "node_id", F.lit(1.0).alias("part_sum"))
     owed = _spread(shared, ones, "part_sum", forward=False)
-    summed = (owed.where(c("origin") != c("node_id")).groupBy(c("node_id").alias("id"))
-              .agg(F.sum("part_sum").alias("betweenness")))
-    n = ids.rows
-    scale = 1.0 if not normalized else (1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0)
-    if pivots is not None and n_sources:
-        scale *= n / n_sources
-    return ids.df.join(summed, "id", "left").select(
-        "id", (F.coalesce("betweenness", F.lit(0.0)) * scale).alias("betweenness"))
+    return (owed.where(c("origin") != c("node_id")).groupBy(c("node_id").alias("id"))
+            .agg(F.sum("part_sum").alias("betweenness")))
 
 
 def _spread(links: DataFrame, start: DataFrame, value: str, forward: bool) -> DataFrame:

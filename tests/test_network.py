@@ -81,6 +81,72 @@ def test_betweenness_brute_force(spark, hot, request):
         network.betweenness(net(spark, [(0, 1, 0)]), ids(spark, 2))
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_betweenness_by_tables_in_parts(spark, seed, monkeypatch):
+    """A core too large to be sent: paths as tables, for a part of the sources at a time, with the same result."""
+    import os
+
+    from meshlark.plans import lineage
+
+    rows, n = random_net(seed, 8, 24), 8
+    rows += [(8, 0, 2), (8, 3, 1), (9, 3, 1.5)]  # vertices that no link enters
+    whole = {int(r.id): r.betweenness for r in network.betweenness(net(spark, rows), ids(spark, 10)).collect()}
+    assert [whole[i] for i in range(10)] == pytest.approx(brute_betweenness(rows, 10))
+    monkeypatch.setattr(network, "CORE_LINKS", 0)
+    monkeypatch.setattr(network, "TABLE_PAIRS", 100)
+    made, plain = [], network._table_sums
+    monkeypatch.setattr(network, "_table_sums", lambda links, own: made.append(own.count()) or plain(links, own))
+    folder = f"{lineage.shared_folder(spark)}/tables/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    got = {int(r.id): r.betweenness for r in network.betweenness(net(spark, rows), ids(spark, 10)).collect()}
+    assert got == {k: pytest.approx(v) for k, v in whole.items()}
+    assert len(made) > 1 and sum(made) == 10
+    assert len(set(os.listdir(folder)) - before) < 8 + len(made)
+
+
+def test_betweenness_writes_no_row_per_source_and_vertex(spark, monkeypatch):
+    """Many sources around a few vertices: tables of links and vertices, none of all sources by all vertices."""
+    rnd = random.Random(6)
+    rows = {(a, b): rnd.randint(1, 3) for a in range(10) for b in range(10) if a != b}
+    rows |= {(10 + i, rnd.randrange(10)): rnd.randint(1, 4) for i in range(500)}
+    rows = [(a, b, w) for (a, b), w in rows.items()]
+    written = []
+    for module in (network, network.relax.__globals__):
+        plain = module["store"] if isinstance(module, dict) else module.store
+
+        def watched(df, _plain=plain, **measures):
+            made = _plain(df, **measures)
+            written.append(made.rows)
+            return made
+
+        monkeypatch.setitem(module if isinstance(module, dict) else vars(module), "store", watched)
+    monkeypatch.setattr(network, "TASK_PAIRS", 2_000)  # several batches a task
+    got = {int(r.id): r.betweenness for r in network.betweenness(net(spark, rows), ids(spark, 510), normalized=False).collect()}
+    assert max(written) <= len(rows)
+    # By the pair formula: which pairs have how much of their paths through which vertex.
+    dist, paths = np.full((510, 510), np.inf), np.zeros((510, 510))
+    w = np.full((510, 510), np.inf)
+    for a, b, x in rows:
+        w[a, b] = x
+    np.fill_diagonal(dist, 0)
+    for _ in range(30):
+        dist = np.minimum(dist, (w[:, :10, None] + dist[None, :10, :]).min(1))
+    order = np.arange(510)
+    for s in range(510):
+        paths[s, s] = 1
+        for t in sorted((t for t in range(510) if t != s and np.isfinite(dist[s, t])), key=lambda t: dist[s, t]):
+            at = order[np.isfinite(w[:, t]) & np.isclose(dist[s] + w[:, t], dist[s, t])]
+            paths[s, t] = paths[s, at].sum()
+    for v in range(510):
+        want = 0.0
+        if v < 10:
+            for t in range(10):
+                if t != v:
+                    on = np.isfinite(dist[:, v]) & (dist[:, v] + dist[v, t] == dist[:, t]) & (order != v) & (order != t)
+                    want += (paths[on, v] * paths[v, t] / paths[on, t]).sum()
+        assert got[v] == pytest.approx(want)
+
+
 def quality(rows, member):
     two_m = 2 * sum(w for *_, w in rows)
     tot, inner = {}, 0.0
