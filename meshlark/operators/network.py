@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from meshlark.graph import GraphError, PropertyGraph, check_at_least
 from meshlark.operators.traverse import Links, bfs, links_of, relax, shortest_path
 from meshlark.plans.lineage import Stored, forget, scratch, store
-from meshlark.plans.skew import laid_out
+from meshlark.plans.skew import Split, laid_out
 
 c = F.col
 #: Relative difference of path lengths below which they count as equal.
@@ -96,7 +96,8 @@ def pagerank(edges: DataFrame, vertices: DataFrame, damping: float = 0.85, tol:
     without out-links is lost on the way and the final scaling restores it, which equals spreading it evenly,
     so no round needs a global sum before it can start. Stops when a round changes less than ``tol`` in all, which
     it must, since what moves shrinks by ``damping`` or more each round; ``max_rounds`` raises if that takes longer.
-    Large links are bucketed once, hot sources in slices; only the mass table moves.
+    After the first round only vertices that a link enters can hold fresh mass: the others are settled, and neither they nor
+    their links are read again. Large links are bucketed once, hot sources in slices; only the mass table moves.
     """
     if not 0.0 < damping < 1.0:
         raise GraphError("damping must lie between 0 and 1")
@@ -104,12 +105,12 @@ def pagerank(edges: DataFrame, vertices: DataFrame, damping: float = 0.85, tol:
     out = links.groupBy("src").agg(F.sum("weight").alias("_out"))
     flow = store(links.join(out, "src").select(
         "src", "dst", (c("weight") / c("_out") * damping).alias("share")))
-    arrows = laid_out(flow.df, flow.rows, "src", "dst")
     n = vertices.select("id").distinct().count()
     if not n:
         return vertices.select("id", F.lit(None).cast("double").alias("pagerank"))
     state = store(vertices.select("id").distinct().select(
         "id", F.lit(0.0).alias("settled"), F.lit(1.0 / n).alias("fresh")))
+    arrows, rest = Split(flow.df, "src", None), None
     rounds = 0
     while True:
         if rounds == max_rounds:
@@ -126,9 +127,15 @@ def pagerank(edges: DataFrame, vertices: DataFrame, damping: float = 0.85, tol:
             moved=F.sum("moved"))
         forget(state)
         state = after
-        if after.measures["moved"] < tol:
+        if (after.measures["moved"] or 0.0) < tol:
             break
-    whole = state.df.select("id", (c("settled") + c("fresh")).alias("mass"))
+        if rest is None:
+            rest, state = after.df.where("fresh = 0"), store(after.df.where("fresh > 0"))
+            kept = store(flow.df.join(state.df.select(c("id").alias("src")), "src", "left_semi"))
+            arrows = laid_out(kept.df, kept.rows, "src", "dst")
+            forget(flow)
+    whole = state.df if rest is None else state.df.unionByName(rest)
+    whole = whole.select("id", (c("settled") + c("fresh")).alias("mass"))
     total = whole.agg(F.sum("mass")).first()[0]
     return whole.select("id", (c("mass") / total).alias("pagerank"))
 

@@ -147,6 +147,30 @@ def test_betweenness_writes_no_row_per_source_and_vertex(spark, monkeypatch):
         assert got[v] == pytest.approx(want)
 
 
+def test_pagerank_reads_settled_vertices_once(spark, monkeypatch):
+    """Vertices that no link enters give their mass away in the first round; later rounds have rows of the others only."""
+    rows = [(a, b, 1 + (a + b) % 3) for a in range(6) for b in range(6) if a != b] + [(6 + i, i % 6, 1) for i in range(200)]
+    written, plain = [], network.store
+
+    def watched(df, **measures):
+        made = plain(df, **measures)
+        written.append(made.rows)
+        return made
+
+    monkeypatch.setattr(network, "store", watched)
+    got = {int(r.id): r.pagerank for r in network.pagerank(net(spark, rows), ids(spark, 210)).collect()}
+    assert written[-1] == 6 and sum(n > 6 for n in written) <= 4
+    m = np.zeros((210, 210))
+    for a, b, w in rows:
+        m[b, a] = w
+    for a in range(210):
+        m[:, a] = m[:, a] / m[:, a].sum() if m[:, a].sum() else 1 / 210
+    want = np.linalg.solve(np.eye(210) - 0.85 * m, np.full(210, 0.15 / 210))
+    assert [got[i] for i in range(210)] == pytest.approx(want.tolist(), abs=1e-8)
+    alone = network.pagerank(net(spark, [(0, 1, 0)]), ids(spark, 3)).collect()
+    assert [r.pagerank for r in alone] == pytest.approx([1 / 3] * 3)
+
+
 def quality(rows, member):
     two_m = 2 * sum(w for *_, w in rows)
     tot, inner = {}, 0.0
