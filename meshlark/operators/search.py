@@ -1,8 +1,8 @@
 """Vector search, hybrid ranking, semantic neighbors and walks for many requests at once.
 
-Nodes are scanned where they lie. Every task compares its Arrow batches with a bounded block of queries by one
-matrix product and keeps only the best k per query, so no (query, node) pair leaves a task unless it is among
-the task's best. Ties rank the smaller node id first; similarities are compared at 12 decimals, so that equal
+Nodes are scanned where they lie. Every task compares its Arrow batches with a bounded block of queries by matrix
+products in single precision, computes in double precision what these cannot rule out, and keeps only the best k per
+query, so no (query, node) pair leaves a task unless it is among the task's best. Ties rank the smaller node id first; similarities are compared at 12 decimals, so that equal
 vectors tie whatever the order of additions was.
 """
 
@@ -27,6 +27,8 @@ from meshlark.plans.topk import top_k
 QUERY_BLOCK_BYTES = 32 << 20
 CELL_BYTES = 64 << 20
 COMPARE_DECIMALS = 12
+#: Pairs that are computed in double precision at a time.
+EXACT_ROWS = 16_384
 HITS = "query_id long, node_id long, similarity double"
 
 
@@ -63,35 +65,69 @@ def _best(query: np.ndarray, node: np.ndarray, similarity: np.ndarray, k: int, s
     return query[keep], node[keep], similarity[keep]
 
 
-class _Running:
-    """Best k per query seen so far in a task."""
+class _Tile:
+    """Best k of some queries so far.
+
+    All pairs are compared in single precision; what that cannot rule out by its bound on rounding, a sum of products
+    of unit vectors being off by 2 ** -24 a part and little more, is computed in double precision.
+    """
 
-    def __init__(self, k: int, scale: float, step: int = 256):
-        self.k, self.scale, self.step = k, scale, step
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int, scale: float):
+        self.ids, self.exact, self.coarse, self.k, self.scale = ids, rows, rows.astype(np.float32), k, scale
         self.rows = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        self.least = np.full(len(ids), -np.inf)
+        self.slack = 2 * (rows.shape[1] + 4) * 2.0**-24
+
+    def add(self, node_ids: np.ndarray, rows: np.ndarray, coarse: np.ndarray) -> None:
+        found = self.coarse @ coarse.T
+        bound = np.full(len(self.ids), -np.inf)
+        if self.scale > 0:
+            tie = 2 * 10.0**-COMPARE_DECIMALS / self.scale
+            bound = self.least / self.scale - tie - self.slack
+            if len(node_ids) > self.k and np.isinf(bound).any():
+                at = len(node_ids) - self.k
+                bound = np.maximum(bound, np.partition(found, at, axis=1)[:, at] - tie - 2 * self.slack)
+        bound = np.nextafter(bound.astype(np.float32), np.float32(-np.inf))
+        query, node = np.divmod(np.flatnonzero(found >= bound[:, None]), len(node_ids))
+        if not len(query):
+            return
+        similarity = np.concatenate([
+            np.einsum("ij,ij->i", self.exact[query[at:at + EXACT_ROWS]], rows[node[at:at + EXACT_ROWS]])
+            for at in range(0, len(query), EXACT_ROWS)])
+        own = (query, node_ids[node], similarity)
+        self.rows = _best(*(np.concatenate(c) for c in zip(self.rows, own)), self.k, self.scale)
+        query, _, similarity = self.rows
+        last = np.flatnonzero(np.append(query[1:] != query[:-1], True))
+        full = last[np.diff(np.append(-1, last)) == self.k]
+        self.least[query[full]] = np.round(similarity[full] * self.scale, COMPARE_DECIMALS)
+
+
+class _Running:
+    """Best k per query seen so far in a task; the queries are the same each time."""
+
+    def __init__(self, k: int, scale: float, step: int = 512, nodes: int = 2048):
+        self.k, self.scale, self.step, self.nodes = k, scale, step, nodes
+        self.tiles: dict[int, list[_Tile]] = {}
 
     def add(self, nodes: dict, queries: dict) -> None:
-        parts = [self.rows]
         for size, (node_ids, node_rows) in nodes.items():
             if size not in queries:
                 continue
-            query_ids, query_rows = queries[size]
-            for at in range(0, len(query_ids), self.step):
-                ids = query_ids[at:at + self.step]
-                found = node_rows @ query_rows[at:at + self.step].T
-                score = np.round(found * self.scale, COMPARE_DECIMALS)
-                if len(node_ids) > self.k:
-                    least = np.partition(score, len(node_ids) - self.k, axis=0)[len(node_ids) - self.k]
-                    row, col = np.nonzero(score >= least)
-                else:
-                    row, col = np.nonzero(np.ones_like(score, dtype=bool))
-                parts.append(_best(ids[col], node_ids[row], found[row, col], self.k, self.scale))
-        if len(parts) > 1:
-            self.rows = _best(*(np.concatenate(c) for c in zip(*parts)), self.k, self.scale)
+            if size not in self.tiles:
+                ids, rows = queries[size]
+                self.tiles[size] = [_Tile(ids[at:at + self.step], rows[at:at + self.step], self.k, self.scale)
+                                    for at in range(0, len(ids), self.step)]
+            for at in range(0, len(node_ids), self.nodes):
+                rows = node_rows[at:at + self.nodes]
+                coarse = rows.astype(np.float32)
+                for tile in self.tiles[size]:
+                    tile.add(node_ids[at:at + self.nodes], rows, coarse)
 
     def batch(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in self.rows],
-                                          names=["query_id", "node_id", "similarity"])
+        parts = [(tile.ids[tile.rows[0]], *tile.rows[1:]) for tiles in self.tiles.values() for tile in tiles]
+        parts.append((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)))
+        rows = _best(*(np.concatenate(c) for c in zip(*parts)), self.k, self.scale)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=["query_id", "node_id", "similarity"])
 
 
 # ---- exact search ---------------------------------------------------------------------------------------

@@ -245,3 +245,47 @@ def test_as_of_reads_the_last_buckets_only(spark, tmp_path):
         anomaly.first_buckets(activity, rule).collect(), "entity_id long, is_node boolean, first_bucket long")
     plan = anomaly.latest_scores(activity, rule, as_of=200, firsts=firsts)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "LessThan(at_ms,210)" in plan and "GreaterThanOrEqual(at_ms,130)" in plan
+
+
+def brute_nearest(nodes, queries, k, scale=1.0):
+    """``(query, node)`` by all similarities in double precision."""
+    unit = lambda rows: rows / np.sqrt((rows * rows).sum(1))[:, None]
+    a, b = unit(np.array([v for _, v in queries], float)), unit(np.array([v for _, v in nodes], float))
+    ids = np.array([i for i, _ in nodes])
+    score = np.round(np.einsum("ij,kj->ik", a, b) * scale, search.COMPARE_DECIMALS)
+    return {(q, int(ids[n])) for (q, _), row in zip(queries, score) for n in np.lexsort((ids, -row))[:k]}
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-7, 0.0])
+def test_nearest_below_single_precision(scale):
+    """Vectors that single precision cannot tell apart, several batches, several tiles, repeated queries."""
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(9)
+    centers = rnd.normal(size=(5, 16))
+    nodes = [(int(i), centers[i % 5] + rnd.normal(size=16) * 10.0 ** -(6 + i % 4)) for i in rnd.permutation(700)]
+    nodes += [(700 + i, centers[0]) for i in range(40)]
+    queries = [(i, centers[i % 5] + rnd.normal(size=16) * 1e-8) for i in range(23)]
+    as_unit = lambda rows: search._unit_vectors(pa.array([i for i, _ in rows]), pa.array([v.tolist() for _, v in rows], pa.list_(pa.float64())))
+    for k in (1, 7, 900):
+        best = search._Running(k, scale, step=4, nodes=50)
+        for at in range(0, len(nodes), 130):
+            best.add(as_unit(nodes[at:at + 130]), as_unit(queries + queries[:2]))
+        got = best.batch().to_pydict()
+        assert {(q, n) for q, n in zip(got["query_id"], got["node_id"]) if q > 1} == {
+            x for x in brute_nearest(nodes, queries, k, scale) if x[0] > 1}
+        pairs = dict(zip(zip(got["query_id"], got["node_id"]), got["similarity"]))
+        for (q, n), s in list(pairs.items())[::97]:
+            a, b = dict(queries)[q], dict(nodes)[n]
+            assert s == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), abs=1e-14)
+
+
+def test_few_pairs_are_computed_in_double_precision(monkeypatch):
+    rnd = np.random.default_rng(2)
+    some = {16: (np.arange(6000), rnd.normal(size=(6000, 16)))}
+    some = {16: (some[16][0], some[16][1] / np.linalg.norm(some[16][1], axis=1)[:, None])}
+    rounded, plain = [], np.round
+    monkeypatch.setattr(np, "round", lambda x, *rest: rounded.append(np.size(x)) or plain(x, *rest))
+    best = search._Running(3, 1.0)
+    best.add(some, {16: (some[16][0][:600], some[16][1][:600])})
+    assert best.batch().num_rows == 1800 and sum(rounded) < 0.05 * 600 * 6000
