@@ -149,6 +149,31 @@ def test_jaccard_tables_stay_smaller_than_near_copies(spark, monkeypatch):
     assert max(written) < sum(len(t) for _, t in rows)
 
 
+def test_stage_of_near_copies_writes_less_than_it_reads(spark, monkeypatch):
+    import os
+
+    import corpus_pipeline
+    from meshlark.llm import jaccard_join
+
+    rnd = random.Random(9)
+    rows = []
+    for i in range(60):
+        words = [rnd.choice("abcdefgh") + rnd.choice("aeiou") + rnd.choice("stvw") for _ in range(300)]
+        rows += [(10 * i + k, " ".join([*words, f"copy{k}"]), "en") for k in range(5)]
+    written, plain = [], jaccard_join.store
+
+    def watched(df, **measures):
+        made = plain(df, **measures)
+        written.append(sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(made.path) for f in names if f.endswith(".parquet")))
+        return made
+
+    monkeypatch.setattr(jaccard_join, "store", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [10 * i for i in range(60)]
+    assert max(written) < sum(len(t) for _, t, _ in rows)
+
+
 def test_shingles_are_dealt_in_few_bytes():
     import pyarrow as pa
 
